@@ -107,7 +107,7 @@ def stockout_correlations(df, columns=("sale_amount", "sale_amount_pred"), keys=
     the whole result needs one partial aggregation and one shuffle.
     """
     hours = F.col("stock_hour6_22_cnt")
-    levels = F.bit_count(F.bit_or(F.shiftleft(F.lit(1), hours)))
+    levels = F.bit_count(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), hours)))
     return df.filter(hours > 0).groupBy(*keys, "holiday_flag").agg(
         levels.cast("int").alias("levels"),
         *[correlation(hours, F.col(c)).alias(f"corr_{c}") for c in columns])

@@ -1,6 +1,8 @@
 """All registered queries and the SQL they must agree with."""
 
-from tillcast.plans import catalog_features, oracle_features
+from tillcast.plans import (
+    catalog_features, catalog_recovery, oracle_features, oracle_recovery,
+)
 
-QUERIES = {**catalog_features.QUERIES}
-SQL = {**oracle_features.SQL}
+QUERIES = {**catalog_features.QUERIES, **catalog_recovery.QUERIES}
+SQL = {**oracle_features.SQL, **oracle_recovery.SQL}

@@ -57,8 +57,8 @@ def sales_panel(spark, base):
 def hourly_panel(spark, base, users_per_store=30):
     """Hourly sales vectors of each user group (store) and event type (product).
 
-    An hour is a stockout when errors are at least a quarter of the store's events in
-    it. ``truth_hours`` keeps the sales before censoring, to score imputers.
+    An hour is a stockout when most of the store's events in it are errors.
+    ``truth_hours`` keeps the sales before censoring, to score imputers.
     """
     events = read_table(spark, base, "events").select(
         F.floor(F.col("user_id") / users_per_store).alias("store_id"),
@@ -66,8 +66,8 @@ def hourly_panel(spark, base, users_per_store=30):
     hours = range(HOURS_PER_DAY)
     is_error = F.col("event_type") == "error"
     status = events.groupBy("store_id", "dt").agg(F.array(*[
-        (4 * F.count_if(is_error & (F.col("h") == h)) >= F.greatest(F.count_if(F.col("h") == h), F.lit(1)))
-        .cast("int") for h in hours]).alias("hours_stock_status"))
+        (2 * F.count_if(is_error & (F.col("h") == h)) > F.count_if(F.col("h") == h)).cast("int")
+        for h in hours]).alias("hours_stock_status"))
     sales = events.filter(~is_error).groupBy("store_id", F.col("event_type").alias("product_id"), "dt").agg(
         F.array(*[F.round(F.coalesce(F.sum(F.when(F.col("h") == h, F.col("value"))), F.lit(0.0)), 2)
                   for h in hours]).alias("truth_hours"))
