@@ -87,7 +87,8 @@ def add_calendar(df, date=DATE):
 def add_fourier(df, anchor=None, date=DATE):
     """Seasonal terms of the days since ``anchor``, by default the first panel day."""
     start = F.lit(anchor).cast("date") if anchor is not None else df.select(F.min(date)).scalar()
-    return df.withColumns(fourier_columns(F.datediff(F.col(date), start)))
+    numbered = df.withColumn("_t", F.datediff(F.col(date), start))
+    return numbered.withColumns(fourier_columns(F.col("_t"))).drop("_t")
 
 
 def add_recovery_columns(df):

@@ -1,7 +1,6 @@
 """Exact medians of many columns without gathering a column in one task."""
 
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -75,7 +74,10 @@ def exact_medians(df, columns, max_values=MAX_VALUES):
             bracket.lo, bracket.hi = ranges[c]
             bracket.first, bracket.second, bracket.below = first, second, below
             bracket.targets = ((first - below) / inside, (second - below) / inside)
-            if counts[f"{c}|distinct"] <= max_values:
+            if bracket.lo == bracket.hi:
+                medians[c] = bracket.lo
+                del open_brackets[c]
+            elif counts[f"{c}|distinct"] <= max_values:
                 done[c] = open_brackets.pop(c)
     if done:
         medians.update(_middle_values(data, done))
@@ -84,17 +86,17 @@ def exact_medians(df, columns, max_values=MAX_VALUES):
 
 def _middle_values(data, brackets):
     """The median of each column from the value counts inside its bracket."""
-    any_inside = reduce(lambda a, b: a | b, [b.holds(c) for c, b in brackets.items()])
     entries = F.array(*[
         F.struct(F.lit(c).alias("name"), F.when(b.holds(c), F.col(c)).alias("value"))
         for c, b in brackets.items()])
+    inside = F.filter(entries, lambda e: e["value"].isNotNull())
 
     def per_column(attribute):
         pairs = [F.lit(x) for c, b in brackets.items() for x in (c, getattr(b, attribute))]
         return F.create_map(*pairs)[F.col("name")]
 
     counted = (
-        data.filter(any_inside).select(F.inline(entries)).filter(F.col("value").isNotNull())
+        data.select(F.inline(inside))
         .groupBy("name", "value").agg(F.count("*").alias("rows"))
     )
     upto = Window.partitionBy("name").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)

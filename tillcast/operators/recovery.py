@@ -16,26 +16,23 @@ from tillcast.operators.hourly import hourly_cells
 HOURS = range(OPERATING_HOURS)
 
 
-def _totals(values, name):
-    return F.array(*[F.sum(F.get(values, F.lit(h))) for h in HOURS]).alias(name)
+def _sums(array, name):
+    """Element-wise sum over the rows of a group."""
+    return F.array(*[F.sum(F.get(array, F.lit(h))) for h in HOURS]).alias(name)
 
 
-def _counts(values, name):
-    return F.array(*[F.count(F.get(values, F.lit(h))) for h in HOURS]).alias(name)
-
-
-def _sum_of_counts(values, name):
-    return F.array(*[F.sum(F.get(values, F.lit(h))) for h in HOURS]).alias(name)
+def _counts(array, name):
+    """Element-wise count of values over the rows of a group."""
+    return F.array(*[F.count(F.get(array, F.lit(h))) for h in HOURS]).alias(name)
 
 
 def _mean(totals, counts):
     return F.zip_with(totals, counts, lambda t, n: F.try_divide(t, n))
 
 
-def _first_known(*profiles):
-    """Hour by hour the first profile that has a value, else zero."""
-    return F.array(*[
-        F.coalesce(*[F.get(p, F.lit(h)) for p in profiles], F.lit(0.0)) for h in HOURS])
+def _first_known(preferred, fallback):
+    """Hour by hour the preferred value, or the fallback where there is none."""
+    return F.zip_with(preferred, fallback, lambda p, f: F.coalesce(p, f))
 
 
 def add_profile_imputations(df, keys=SERIES_KEYS, date=DATE, masked="masked"):
@@ -48,25 +45,22 @@ def add_profile_imputations(df, keys=SERIES_KEYS, date=DATE, masked="masked"):
     """
     keys, store = list(keys), keys[0]
     rows = df.withColumn("_dow", F.weekday(date)).repartition(*keys)
-    m = F.col(masked)
-    weekday = rows.groupBy(*keys, "_dow").agg(_totals(m, "totals"), _counts(m, "counts"))
+    weekday = rows.groupBy(*keys, "_dow").agg(_sums(masked, "t"), _counts(masked, "n"))
     series = weekday.groupBy(*keys).agg(
-        F.map_from_entries(F.collect_list(F.struct(
-            "_dow", _mean(F.col("totals"), F.col("counts"))))).alias("_weekdays"),
-        _totals(F.col("totals"), "_totals"), _sum_of_counts(F.col("counts"), "_counts"))
-    stores = series.groupBy(store).agg(
-        _totals(F.col("_totals"), "_store_totals"), _sum_of_counts(F.col("_counts"), "_store_counts"))
-    overall = stores.agg(_totals(F.col("_store_totals"), "t"), _sum_of_counts(F.col("_store_counts"), "c"))
-    overall = overall.select(_mean(F.col("t"), F.col("c"))).scalar()
-    profiles = series.join(stores, store).select(
-        *keys, "_weekdays",
-        _first_known(_mean(F.col("_totals"), F.col("_counts")),
-                     _mean(F.col("_store_totals"), F.col("_store_counts")), overall).alias("_hours"))
+        F.map_from_entries(F.collect_list(F.struct("_dow", _mean("t", "n")))).alias("_weekdays"),
+        _sums("t", "t"), _sums("n", "n"))
+    stores = series.groupBy(store).agg(_sums("t", "store_t"), _sums("n", "store_n"))
+    overall = stores.agg(_sums("store_t", "t"), _sums("store_n", "n")).select(_mean("t", "n")).scalar()
+    none_known = F.array_repeat(F.lit(0.0), OPERATING_HOURS)
+    profiles = (
+        series.join(stores, store).withColumn("_all", overall)
+        .withColumn("_store", _first_known(_mean("store_t", "store_n"), _first_known("_all", none_known)))
+        .select(*keys, "_weekdays", _first_known(_mean("t", "n"), "_store").alias("imputed_hour"))
+    )
     joined = rows.join(profiles, keys)
-    return joined.withColumns({
-        "imputed_weekday": _first_known(F.col("_weekdays")[F.col("_dow")], F.col("_hours")),
-        "imputed_hour": F.col("_hours"),
-    }).drop("_dow", "_weekdays", "_hours")
+    weekday_mean = F.col("_weekdays")[F.col("_dow")]
+    return joined.withColumn("imputed_weekday", _first_known(weekday_mean, "imputed_hour")).drop(
+        "_dow", "_weekdays")
 
 
 def clip_imputed(imputed):

@@ -12,21 +12,24 @@ def last_day(df, date=DATE):
     return df.select(F.max(date)).scalar()
 
 
+def with_age(df, max_date=None, date=DATE, name="_age"):
+    """Days between a row and the panel's last day (or ``max_date``)."""
+    end = F.lit(max_date).cast("date") if max_date is not None else last_day(df, date)
+    return df.withColumn(name, F.datediff(end, F.col(date)))
+
+
 def add_split(df, test_days=TEST_DAYS, val_days=VAL_DAYS, max_date=None, date=DATE):
     """Label rows ``train``, ``val`` or ``test``; one frame instead of three copies."""
-    end = F.lit(max_date).cast("date") if max_date is not None else last_day(df, date)
-    test_start = F.date_sub(end, test_days - 1)
-    val_start = F.date_sub(end, test_days + val_days - 1)
-    label = F.when(F.col(date) >= test_start, "test").when(F.col(date) >= val_start, "val")
-    return df.withColumn("split", label.otherwise("train"))
+    age = F.col("_age")
+    label = F.when(age < test_days, "test").when(age < test_days + val_days, "val")
+    return with_age(df, max_date, date).withColumn("split", label.otherwise("train")).drop("_age")
 
 
 def add_weights(df, max_date=None, date=DATE):
     """Age of a row in days and its training weight."""
-    end = F.lit(max_date).cast("date") if max_date is not None else last_day(df, date)
-    age = F.datediff(end, F.col(date))
+    age = F.col("days_ago")
     weight = F.when(age <= RECENT_DAYS, RECENT_WEIGHT).when(age <= MID_DAYS, MID_WEIGHT)
-    return df.withColumns({"days_ago": age, "sample_weight": weight.otherwise(OLD_WEIGHT)})
+    return with_age(df, max_date, date, "days_ago").withColumn("sample_weight", weight.otherwise(OLD_WEIGHT))
 
 
 def part(df, name):

@@ -1,8 +1,8 @@
 """All registered queries and the SQL they must agree with."""
 
 from tillcast.plans import (
-    catalog_features, catalog_recovery, oracle_features, oracle_recovery,
+    catalog_features, catalog_models, catalog_recovery, oracle_features, oracle_models, oracle_recovery,
 )
 
-QUERIES = {**catalog_features.QUERIES, **catalog_recovery.QUERIES}
-SQL = {**oracle_features.SQL, **oracle_recovery.SQL}
+QUERIES = {**catalog_features.QUERIES, **catalog_recovery.QUERIES, **catalog_models.QUERIES}
+SQL = {**oracle_features.SQL, **oracle_recovery.SQL, **oracle_models.SQL}
