@@ -226,7 +226,7 @@ def per_city_ridge(spark, base):
 
 def benchmark_run(spark, base):
     """Every forecaster, blend and stack on the test week."""
-    scored, _ = training.run_benchmark(prepared(spark, base), SMALL)
+    scored, _ = training.run_benchmark(prepared(spark, base), SMALL, knn_inputs=FEATURES)
     return training.benchmark_metrics(scored)
 
 

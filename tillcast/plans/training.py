@@ -8,7 +8,7 @@ from tillcast.constants import (
     FEATURES, FOURIER_PREFIXES, NEIGHBOURS, SERIES_KEYS, features_without,
 )
 from tillcast.operators import metrics
-from tillcast.operators.encoding import MedianFill, TargetEncoder
+from tillcast.operators.encoding import MedianFill, Standardizer, TargetEncoder
 from tillcast.operators.features import build_features
 from tillcast.operators.neighbors import knn_forecast
 from tillcast.operators.per_group import fit_trees_per_group
@@ -63,7 +63,7 @@ def prepare(panel, fit_scope="train", inputs=FEATURES, chunk_rows=None):
     encoded = encoder.transform(base)
     scope = part(base, "train") if fit_scope == "train" else base
     numeric = [f for f in inputs if not f.endswith("_te")]
-    fill = MedianFill.fit(scope, numeric)
+    fill = MedianFill.fit(scope, numeric, needed_by=base)
     return Prepared(materialize(fill.transform(encoded), "model-input"), encoder, fill, list(inputs))
 
 
@@ -86,16 +86,23 @@ def predict(frame, models):
     return frame
 
 
-def run_benchmark(data, sizes, knn_inputs=(), k=NEIGHBOURS):
+def add_knn(data, scored, inputs, k=NEIGHBOURS, target=RECOVERED):
+    """kNN predictions on standardised inputs, as column ``knn``."""
+    row_id = F.concat_ws("@", "series_id", F.col("dt").cast("string"))
+    scaler = Standardizer.fit(data.split("train"), inputs)
+    train = scaler.transform(data.split("train")).withColumn("_id", row_id)
+    asked = scaler.transform(scored).withColumn("_id", row_id).select("_id", *inputs)
+    found = knn_forecast(train, asked, inputs, target, "_id", k=k).select("_id", "knn")
+    return scored.withColumn("_id", row_id).join(found, "_id", "left").drop("_id")
+
+
+def run_benchmark(data, sizes, knn_inputs=()):
     """Validation and test rows with every model's prediction, and the models."""
     models = fit_base_models(data, sizes)
     held = data.frame.filter(F.col("split") != "train")
     scored = predict(held, models).withColumn("lightgbm", blend("lgb_observed", "lgb_recovered"))
     if knn_inputs:
-        row_id = F.concat_ws("@", "series_id", F.col("dt").cast("string"))
-        scored = scored.withColumn("_id", row_id)
-        train = data.split("train").withColumn("_id", row_id)
-        scored = knn_forecast(train, scored, list(knn_inputs), RECOVERED, "_id", k=k).drop("_id")
+        scored = add_knn(data, scored, list(knn_inputs))
     scored = materialize(scored, "predictions")
     stack = fit_stack(part(scored, "val"), ["xgboost", "lightgbm", "random_forest"], RECOVERED, "lightgbm")
     return stack.transform(scored, "stacking"), {**models, "stacking": stack}
