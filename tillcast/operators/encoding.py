@@ -10,15 +10,23 @@ from tillcast.operators.quantiles import exact_medians
 from tillcast.session import materialize
 
 
-def encoding_lookup(train, column, target="y_eff", smoothing=SMOOTHING_ROWS, overall=None):
-    """Encoded mean per (category, month): the group mean drawn to the overall mean.
+def encoding_cells(train, columns=ENCODED_COLUMNS, target="y_eff"):
+    """Sum and count of the target per combination of the encoded columns and month.
 
-    The groups are few and partially aggregated before the shuffle, so a category with
-    a large share of the rows costs its task no more than any other.
+    One pass over the rows serves every encoded column. Map-side aggregation makes the
+    shuffle as small as the number of combinations, however large a category is.
     """
-    overall = train.select(F.avg(target)).scalar() if overall is None else F.lit(overall)
-    groups = train.filter(F.col(column).isNotNull()).groupBy(column, "month").agg(
-        F.sum(target).alias("_total"), F.count(target).alias("_rows"))
+    return train.groupBy(*columns, "month").agg(F.sum(target).alias("_total"), F.count(target).alias("_rows"))
+
+
+def encoding_lookup(cells, column, overall=None, smoothing=SMOOTHING_ROWS):
+    """Encoded mean per (category, month): the group mean drawn to the overall mean."""
+    if overall is None:
+        overall = cells.select(F.sum("_total") / F.sum("_rows")).scalar()
+    else:
+        overall = F.lit(overall)
+    groups = cells.filter(F.col(column).isNotNull()).groupBy(column, "month").agg(
+        F.sum("_total").alias("_total"), F.sum("_rows").alias("_rows"))
     encoded = (F.col("_total") + overall * smoothing) / (F.col("_rows") + smoothing)
     return groups.select(column, "month", F.when(F.col("_rows") > 0, encoded).alias(f"{column}_te"))
 
@@ -37,10 +45,10 @@ class TargetEncoder:
 
     @classmethod
     def fit(cls, train, columns=ENCODED_COLUMNS, target="y_eff", smoothing=SMOOTHING_ROWS):
-        overall = train.agg(F.avg(target)).first()[0]
+        cells = materialize(encoding_cells(train, columns, target), "encoding")
+        overall = cells.agg(F.try_divide(F.sum("_total"), F.sum("_rows"))).first()[0]
         lookups = {
-            c: materialize(encoding_lookup(train, c, target, smoothing, overall), f"encoding-{c}")
-            for c in columns}
+            c: materialize(encoding_lookup(cells, c, overall, smoothing), f"encoding-{c}") for c in columns}
         return cls(lookups, overall)
 
     def transform(self, df):

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from tillcast.constants import FEATURES, LAGS, SERIES_KEYS, WINDOWS
 from tillcast.operators import encoding, features, quantiles, split
 from tillcast.plans.rounding import rounded
+from tillcast.session import materialize
 from tillcast.sources.panel import densify, series_density
 from tillcast.sources.tables import sales_panel
 
@@ -82,22 +83,27 @@ def target_encoding(spark, base):
 
 def encoding_lookup(spark, base):
     train = split.part(split_panel(spark, base), "train")
-    return rounded(encoding.encoding_lookup(train, "city_id"))
+    return rounded(encoding.encoding_lookup(encoding.encoding_cells(train, ["city_id"]), "city_id"))
 
 
 def column_profile(spark, base):
     return rounded(encoding.column_profile(sales_panel(spark, base), PROFILED))
 
 
-def column_medians(spark, base):
+def filled_from(spark, base):
+    """Written once, since the medians need several passes."""
     panel = split.add_split(features.add_series_features(sales_panel(spark, base)))
-    medians = quantiles.exact_medians(split.part(panel, "train").select(*FILLED), FILLED)
+    return materialize(panel.select(*KEYS, "split", *FILLED), "looked")
+
+
+def column_medians(spark, base):
+    medians = quantiles.exact_medians(split.part(filled_from(spark, base), "train"), FILLED)
     return rounded(encoding.as_frame(spark, medians, value="median"))
 
 
 def median_fill(spark, base):
-    panel = split.add_split(features.add_series_features(sales_panel(spark, base)))
-    fill = encoding.MedianFill.fit(split.part(panel, "train").select(*FILLED), FILLED)
+    panel = filled_from(spark, base)
+    fill = encoding.MedianFill.fit(split.part(panel, "train"), FILLED)
     return rounded(fill.transform(panel).select(*KEYS, *FILLED))
 
 
