@@ -174,6 +174,8 @@ def test_trees_save_load_reuse_and_importance(spark, train):
     assert store.fit_or_load(path, "ridge", lambda: ridge.ridge_pipeline(train, INPUTS, "y")) is not None
     top = importance.ranked(trees.split_importance(spark, model, INPUTS), "importance", 1).first()
     assert top["feature"] == "a"
+    few = importance.sample_rows(train, 5).collect()
+    assert [r["store_id"] for r in few] == [r["store_id"] for r in importance.sample_rows(train, 80).limit(5).collect()]
     sample = importance.sample_rows(train, 100)
     assert sample.count() == 100
     same = importance.sample_rows(train.repartition(7), 100)

@@ -44,18 +44,25 @@ def array_mean(array):
     return F.try_divide(array_sum(array), F.size(array))
 
 
+def _squared_deviations(array):
+    """Sum of squared deviations; the mean rides in the state, so it is computed once."""
+    state = F.struct(array_mean(array).alias("mean"), F.lit(0.0).alias("sum"))
+
+    def add(a, x):
+        gap = x - a["mean"]
+        return F.struct(a["mean"].alias("mean"), (a["sum"] + gap * gap).alias("sum"))
+
+    return F.aggregate(array, state, add, lambda a: a["sum"])
+
+
 def array_std_pop(array):
     """Population standard deviation of a gap-free array."""
-    mean = array_mean(array)
-    squares = F.aggregate(array, F.lit(0.0), lambda a, x: a + (x - mean) * (x - mean))
-    return F.sqrt(F.try_divide(squares, F.size(array)))
+    return F.sqrt(F.try_divide(_squared_deviations(array), F.size(array)))
 
 
 def array_std_samp(array):
     """Sample standard deviation of a gap-free array; NULL below two elements."""
-    mean = array_mean(array)
-    squares = F.aggregate(array, F.lit(0.0), lambda a, x: a + (x - mean) * (x - mean))
-    return F.sqrt(F.try_divide(squares, F.size(array) - 1))
+    return F.sqrt(F.try_divide(_squared_deviations(array), F.size(array) - 1))
 
 
 def last(array, n):

@@ -40,11 +40,12 @@ def add_profile_imputations(df, keys=SERIES_KEYS, date=DATE, masked="masked"):
 
     ``imputed_weekday`` takes the series' mean for that weekday and hour, and where none
     was observed the series' hour, the store's hour, the hour overall. ``imputed_hour``
-    starts at the series' hour. All levels roll up from one aggregation; rows shuffle
-    once, by series, and aggregation and join reuse that partitioning.
+    starts at the series' hour. All levels roll up from one aggregation, whose map side
+    reduces a series to at most seven rows before the shuffle. The daily rows themselves
+    move at most once, to meet the profile of their series.
     """
     keys, store = list(keys), keys[0]
-    rows = df.withColumn("_dow", F.weekday(date)).repartition(*keys)
+    rows = df.withColumn("_dow", F.weekday(date))
     weekday = rows.groupBy(*keys, "_dow").agg(_sums(masked, "t"), _counts(masked, "n"))
     series = weekday.groupBy(*keys).agg(
         F.map_from_entries(F.collect_list(F.struct("_dow", _mean("t", "n")))).alias("_weekdays"),

@@ -18,6 +18,7 @@ from tillcast.operators.stacking import blend, fit_stack
 from tillcast.operators.trees import BOOSTED, BOOSTED_ABLATION, BOOSTED_FINE, BOOSTED_GROUP, FOREST, fit_trees, score
 from tillcast.session import materialize
 
+LONG_SERIES = 100_000
 OBSERVED, RECOVERED, WEIGHT = "sale_amount", "sale_amount_pred", "sample_weight"
 
 
@@ -44,6 +45,7 @@ class Prepared:
     frame: object
     encoder: TargetEncoder
     fill: MedianFill
+    anchor: object
     inputs: list = field(default_factory=lambda: list(FEATURES))
 
     def split(self, name):
@@ -54,9 +56,15 @@ def prepare(panel, fit_scope="train", inputs=FEATURES, chunk_rows=None):
     """Features, split, weights, encodings and median fills.
 
     Medians come from the training rows, or from ``all`` rows; the target is never
-    filled. The result is written once and read by every model.
+    filled. The result is written once and read by every model. A first pass over the
+    keys finds the panel's days and its longest series; series too long for one task are
+    cut into chunks.
     """
-    first, last = panel.agg(F.min("dt"), F.max("dt")).first()
+    series = panel.groupBy(*SERIES_KEYS).agg(
+        F.count("*").alias("n"), F.min("dt").alias("first"), F.max("dt").alias("last"))
+    first, last, longest = series.agg(F.min("first"), F.max("last"), F.max("n")).first()
+    if chunk_rows is None and longest is not None and longest > LONG_SERIES:
+        chunk_rows = LONG_SERIES
     built = build_features(panel, anchor=first, chunk_rows=chunk_rows)
     base = materialize(add_weights(add_split(built, max_date=last), max_date=last), "features")
     encoder = TargetEncoder.fit(part(base, "train"))
@@ -64,7 +72,19 @@ def prepare(panel, fit_scope="train", inputs=FEATURES, chunk_rows=None):
     scope = part(base, "train") if fit_scope == "train" else base
     numeric = [f for f in inputs if not f.endswith("_te")]
     fill = MedianFill.fit(scope, numeric, needed_by=base)
-    return Prepared(materialize(fill.transform(encoded), "model-input"), encoder, fill, list(inputs))
+    return Prepared(materialize(fill.transform(encoded), "model-input"), encoder, fill, first, list(inputs))
+
+
+def prepare_held_out(panel, held, data, chunk_rows=None):
+    """Features of a separate evaluation panel that continues the training panel.
+
+    Look-back columns reach into the training panel; encodings, medians and the seasonal
+    anchor are the fitted ones. Returns the held-out rows only.
+    """
+    joined = panel.withColumn("_held", F.lit(False)).unionByName(
+        held.withColumn("_held", F.lit(True)), allowMissingColumns=True)
+    built = build_features(joined, anchor=data.anchor, chunk_rows=chunk_rows).filter("_held").drop("_held")
+    return data.fill.transform(data.encoder.transform(built))
 
 
 def fit_base_models(data, sizes, target=RECOVERED):

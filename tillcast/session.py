@@ -40,14 +40,16 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/tillcast/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     Several actions then share one computation, the lineage is cut, and a lost
     executor costs a re-read, not a recomputation. The write and read keep columns
-    prunable and filters pushable, which a checkpointed RDD would not.
+    prunable and filters pushable, which a checkpointed RDD would not. With
+    ``partition_by`` a filter on that column reads only its own files.
     """
     spark = df.sparkSession
     path = shared_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    writer = df.write.partitionBy(partition_by) if partition_by else df.write
+    writer.parquet(path)
+    return spark.read.schema(df.schema).parquet(path).select(df.columns)
