@@ -9,11 +9,13 @@ from tillcast.operators import (
 from tillcast.operators.per_group import fit_trees_per_group, ridge_per_group, score_per_group
 from tillcast.operators.trees import fit_trees, score, split_importance
 from tillcast.plans import training
+from tillcast.plans.recovering import recover_panel
 from tillcast.plans.rounding import rounded
+from tillcast.schemas import require_columns
 from tillcast.session import materialize, shared_path
 from tillcast.sources.models import inventory, load_models, save_models
-from tillcast.sources.panel import union_all
-from tillcast.sources.tables import sales_panel
+from tillcast.sources.panel import union_all, with_series_columns
+from tillcast.sources.tables import hourly_panel, sales_panel
 
 KEYS = [*SERIES_KEYS, "dt"]
 SIMPLE = {"last week": "lag_7", "mean of 28": "rolling_mean_28", "series mean": "series_scale"}
@@ -21,7 +23,7 @@ ABLATED = {"recent against long mean": ("series mean", "mean of 28"), "week agai
 LINEAR = ["lag_1", "rolling_mean_28", "series_scale"]
 NEAR = ["lag_1", "rolling_mean_28", "series_scale", "discount"]
 BASES = {"xgboost": "lag_7", "lightgbm": "rolling_mean_28", "random_forest": "series_scale"}
-SMALL = training.Sizes().scaled(trees=8, depth=4)
+SMALL = training.Sizes().scaled(trees=5, depth=4)
 
 
 def looked_panel(spark, base):
@@ -126,6 +128,23 @@ def knn_brute(spark, base):
     return rounded(neighbors.knn_predictions(found))
 
 
+def forecaster_input(spark, base):
+    return rounded(backtest.forecaster_frame(sales_panel(spark, base)))
+
+
+def city_list(spark, base):
+    return sales_panel(spark, base).select("city_id").distinct().orderBy("city_id")
+
+
+def recovered_forecast(spark, base):
+    """Recover the hourly panel, hand it over as a table, and score forecasts on it."""
+    recovered = with_series_columns(recover_panel(hourly_panel(spark, base), imputer="weekday"))
+    demand = require_columns(materialize(recovered, "demand"), ["sale_amount_pred"])
+    looked = split.add_split(features.add_series_features(demand))
+    names = {"last week": "lag_7", "mean of 7": "rolling_mean_7"}
+    return rounded(metrics.score_models(split.part(looked, "test"), names))
+
+
 def forecasts(spark, base, method):
     inputs = backtest.rolling_inputs(backtest.forecaster_frame(sales_panel(spark, base)))
     return backtest.forecast(inputs, {"y_hat": backtest.FORECASTERS[method]})
@@ -210,7 +229,7 @@ def ridge_forecast(spark, base):
 def per_city_models(spark, base):
     data = prepared(spark, base)
     scored, _ = fit_trees_per_group(data.split("train"), data.split("test"), "city_id", FEATURES,
-                                    "sale_amount_pred", SMALL.group.sized(trees=3))
+                                    "sale_amount_pred", SMALL.group.sized(trees=2))
     return scored.select(*KEYS, "city_id", "prediction")
 
 
@@ -232,7 +251,7 @@ def benchmark_run(spark, base):
 
 def ablation_run(spark, base):
     data = prepared(spark, base)
-    scored = training.run_ablations(data, training.Sizes().scaled(trees=3, depth=4))
+    scored = training.run_ablations(data, training.Sizes().scaled(trees=2, depth=4))
     return metrics.ablation_deltas(scored, training.ABLATIONS)
 
 
@@ -260,7 +279,7 @@ def model_inventory(spark, base):
 QUERIES = {f.__name__: f for f in (
     metrics_models, metrics_all_days, metrics_per_city, metrics_validation, best_model, model_verdict,
     ablation_delta, metrics_union, blend_70_30, ridge_closed_form, stacking_ridge, stacking_folds,
-    stacking_summary, knn_brute, backtest_naive, backtest_ma, backtest_drift, backtest_aligned,
+    stacking_summary, knn_brute, forecaster_input, city_list, recovered_forecast, backtest_naive, backtest_ma, backtest_drift, backtest_aligned,
     linear_attribution, top_features, report_markdown, gbt_forecast, gbt_fine_forecast, rf_forecast,
     ridge_forecast, per_city_models, per_city_ridge, benchmark_run, ablation_run, permutation_importance,
     sampled_rows, model_inventory,

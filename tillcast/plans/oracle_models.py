@@ -1,6 +1,7 @@
 """The SQL each forecast query must agree with."""
 
 from tillcast.plans.oracle_features import LOOKED, PANEL, rnd, split_of
+from tillcast.plans.oracle_recovery import CELLS, IMPUTED, RECOVERED
 
 SIMPLE = {"last week": "lag_7", "mean of 28": "rolling_mean_28", "series mean": "series_scale"}
 _BASE = f"WITH {PANEL}, {LOOKED}, {split_of('looked', calendar=False)}"
@@ -135,7 +136,16 @@ _DELTA_TABLE = "deltas AS (" + " UNION ALL ".join(
     f"SELECT '{a}' AS ablation, '{b}' AS base, '{v}' AS variant, {_wape(b)} AS base_wape, {_wape(v)} AS variant_wape"
     for a, b, v in _DELTAS) + ")"
 
+_HANDED_OVER = RECOVERED.replace("panel AS (SELECT *", """panel AS (SELECT *, sale_amount_pred AS y_eff,
+    stock_hour6_22_cnt / 16.0::DOUBLE AS stockout_ratio, CAST(stock_hour6_22_cnt > 0 AS INTEGER) AS is_stockout""")
+
 SQL = {
+    "forecaster_input": f"""WITH {PANEL} SELECT series_id AS unique_id, dt AS ds, {rnd('y', 'coalesce(y_eff, 0)')}
+        FROM panel""",
+    "city_list": f"WITH {PANEL} SELECT DISTINCT city_id FROM panel",
+    "recovered_forecast": f"""WITH {CELLS}, {IMPUTED}, {_HANDED_OVER}, {LOOKED}, {split_of('looked', calendar=False)},
+        {long_of({'last week': 'lag_7', 'mean of 7': 'rolling_mean_7'}, "split = 'test'")}, {metrics_of()}
+        SELECT model, n, {_METRICS} FROM scored""",
     "metrics_models": f"{_TEST} SELECT model, n, {_METRICS} FROM scored",
     "metrics_all_days": f"""{_BASE}, {long_of(SIMPLE, "split = 'test'")}, {metrics_of(masked=False)}
         SELECT model, n, {_METRICS} FROM scored""",
