@@ -1,6 +1,5 @@
 """Session settings and the shared folder for checkpoints and hand-off tables."""
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,21 +22,29 @@ def local_session(cores="*", shuffle_partitions=8, memory="8g"):
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder, from the session.
+    """The folder that all executors share, from the session's ``spark.checkpoint.dir``.
 
-    Only a session that names none (tests on one machine) gets a temporary one.
+    A local session that names none uses its warehouse folder. A cluster must name one:
+    anything else would be a folder that only one machine sees.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not folder:
-        folder = tempfile.mkdtemp(prefix="tillcast-")
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(folder)
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/checkpoints"
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(folder)
     return folder
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/tillcast/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh path below the shared folder, in this application's own part of it."""
+    return f"{_own_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def _own_dir(spark):
+    return f"{shared_dir(spark).rstrip('/')}/tillcast/{spark.sparkContext.applicationId}"
 
 
 def materialize(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
@@ -53,3 +60,14 @@ def materialize(df: DataFrame, name: str, partition_by: str | None = None) -> Da
     writer = df.write.partitionBy(partition_by) if partition_by else df.write
     writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path).select(df.columns)
+
+
+def release(spark: SparkSession) -> None:
+    """Delete every hand-off table of this application.
+
+    For its owner to call once all results are written: frames that still read a
+    hand-off table fail afterwards.
+    """
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(_own_dir(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
