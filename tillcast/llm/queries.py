@@ -1,8 +1,8 @@
 """The registered queries of this subpackage: thin digests of its operators."""
 
-from pyspark.sql import functions as F  # noqa: F401
-
-from tillcast.llm import embeddings, minhash
+from tillcast.llm import (
+    decontam, embeddings, folds, langid, lines, lm, minhash, packing, quality, sharding, toxicity,
+)
 
 
 def _table(spark, base, name):
@@ -17,5 +17,47 @@ def op2_circulant_minhash(spark, base):
     return minhash.near_duplicates(_table(spark, base, "documents"), words=2, similarity=(80, 100))
 
 
-QUERIES = {f.__name__: f for f in (op1_itq_embeddings, op2_circulant_minhash)}
-SQL = {}
+def op3_naive_bayes_language(spark, base):
+    docs, fold = _table(spark, base, "documents"), folds.fold(5)
+    return langid.predict(docs, langid.train(docs.where(fold != 0)), held_out=fold == 0)
+
+
+def op4_backoff_automaton(spark, base):
+    docs, fold = _table(spark, base, "documents"), folds.fold(5)
+    return lm.score(docs, lm.train(docs.where(fold != 1)), held_out=fold == 1)
+
+
+def op5_mixture_packing(spark, base):
+    return packing.pack(_table(spark, base, "documents"))
+
+
+def op6_toxicity_grammar(spark, base):
+    docs, fold = _table(spark, base, "documents"), folds.fold(3)
+    model = toxicity.train(docs, _table(spark, base, "labels"), rows=fold != 1)
+    return toxicity.score(docs, model, held_out=fold == 1)
+
+
+def op7_quality_trees(spark, base):
+    docs, fold = _table(spark, base, "documents"), folds.fold(4)
+    model = quality.train(docs, _table(spark, base, "labels"), rows=fold != 2)
+    return quality.score(docs, model, held_out=fold == 2)
+
+
+def op8_line_windows(spark, base):
+    found = lines.dedup_lines(_table(spark, base, "documents"))
+    return found.select("doc_id", "n_lines", "n_removed", "text")
+
+
+def op9_simhash_decontamination(spark, base):
+    return decontam.find_matches(_table(spark, base, "documents"), _table(spark, base, "benchmark"))
+
+
+def op10_label_propagation_shards(spark, base):
+    return sharding.shard(_table(spark, base, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_itq_embeddings, op2_circulant_minhash, op3_naive_bayes_language, op4_backoff_automaton, op5_mixture_packing,
+    op6_toxicity_grammar, op7_quality_trees, op8_line_windows, op9_simhash_decontamination, op10_label_propagation_shards,
+)}
+SQL = {"op8_line_windows": lines.SQL}
