@@ -82,13 +82,13 @@ def dedup_lines(documents: DataFrame, *, window: int = WINDOW, id_col="doc_id",
 
 SQL = """
 WITH l AS (
-  SELECT doc_id, i - 1 AS at, t.line AS line, trim(t.line, ' ') AS s
+  SELECT doc_id, i - 1 AS place, t.line AS line, trim(t.line, ' ') AS s
   FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
                generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents) t),
 solid AS (
-  SELECT doc_id, at, s, row_number() OVER (PARTITION BY doc_id ORDER BY at) - 1 AS p,
+  SELECT doc_id, place, s, row_number() OVER (PARTITION BY doc_id ORDER BY place) - 1 AS p,
          count(*) OVER (PARTITION BY doc_id) AS n,
-         lead(s, 1) OVER (PARTITION BY doc_id ORDER BY at) AS s1, lead(s, 2) OVER (PARTITION BY doc_id ORDER BY at) AS s2
+         lead(s, 1) OVER (PARTITION BY doc_id ORDER BY place) AS s1, lead(s, 2) OVER (PARTITION BY doc_id ORDER BY place) AS s2
   FROM l WHERE s <> ''),
 win AS (
   SELECT doc_id, p, least(n, 3) AS size, [s, s1, s2] AS w FROM solid WHERE p <= greatest(n - 3, 0)),
@@ -97,11 +97,11 @@ ranked AS (
 gone AS (
   SELECT doc_id, q FROM (SELECT doc_id, k, unnest(range(p, p + size)) AS q FROM ranked WHERE m > 1)
   GROUP BY doc_id, q HAVING min(k) > 1),
-lost AS (SELECT s.doc_id, s.at FROM solid s JOIN gone g ON s.doc_id = g.doc_id AND s.p = g.q),
+lost AS (SELECT s.doc_id, s.place FROM solid s JOIN gone g ON s.doc_id = g.doc_id AND s.p = g.q),
 kept AS (
-  SELECT l.doc_id, string_agg(CASE WHEN x.at IS NULL THEN line END, chr(10) ORDER BY l.at) AS text,
-         count(*) AS n, count(x.at) AS r
-  FROM l LEFT JOIN lost x ON l.doc_id = x.doc_id AND l.at = x.at GROUP BY l.doc_id)
+  SELECT l.doc_id, string_agg(CASE WHEN x.place IS NULL THEN line END, chr(10) ORDER BY l.place) AS text,
+         count(*) AS n, count(x.place) AS r
+  FROM l LEFT JOIN lost x ON l.doc_id = x.doc_id AND l.place = x.place GROUP BY l.doc_id)
 SELECT d.doc_id, CASE WHEN length(d.text) > 0 THEN k.n ELSE 0 END AS n_lines, coalesce(k.r, 0) AS n_removed,
        CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(k.text, '') END AS text
 FROM documents d LEFT JOIN kept k ON d.doc_id = k.doc_id
