@@ -37,17 +37,20 @@ def test_link_misses_no_pair_that_shares_a_key(spark):
     rng = np.random.default_rng(3)
     place = {i: int(v) for i, v in enumerate(rng.permutation(120) * 2 + (rng.random(120) < 0.2))}
     rows = spark.createDataFrame([(7, i, v) for i, v in place.items()], "key long, id long, v long")
-    tested = []
-
     def near(x, y):
         return F.abs(x("v") - y("v")) <= 10
 
     def verify(pairs):
         found = pairs.collect()
-        tested.extend((r.a, r.b) for r in found)
         return spark.createDataFrame([(r.a, r.b) for r in found if abs(place[r.a] - place[r.b]) <= 2], "a long, b long")
 
-    found = {r.id: r.comp for r in linking.link(rows, near, verify).collect()}
+    def kernel(left, right):
+        return np.abs(left["load"].to_numpy()[:, None] - right["load"].to_numpy()) <= 2
+
+    def load(ids):
+        return ids.join(rows.select("id", F.col("v").alias("load")), "id")
+
+    found = {r.id: r.comp for r in linking.link(rows, near, verify, load, kernel, tile=16).collect()}
     edges = [(a, b) for a in place for b in place if a < b and abs(place[a] - place[b]) <= 2]
     assert [found.get(i, i) for i in place] == _roots(len(place), edges)
 
@@ -60,7 +63,7 @@ def test_a_group_of_copies_is_not_listed_pair_by_pair(spark):
         sizes.append(pairs.count())
         return pairs
 
-    found = linking.link(rows, lambda x, y: F.lit(True), verify).collect()
+    found = linking.link(rows, lambda x, y: F.lit(True), verify, None, None).collect()
     assert {r.comp for r in found} == {0} and len(found) == 400
     assert sum(sizes) < 400
 

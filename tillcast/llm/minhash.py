@@ -119,6 +119,22 @@ def _sets(k):
     return sets
 
 
+def _similar(left, right, above, below):
+    """Which sets of ``left`` and ``right`` reach the similarity, from one index of the items of ``right``."""
+    sizes = np.array([len(x) for x in right])
+    items, owners = np.concatenate(right), np.repeat(np.arange(len(right)), sizes)
+    rank = np.argsort(items, kind="stable")
+    items, owners = items[rank], owners[rank]
+    out = np.zeros((len(left), len(right)), dtype=bool)
+    for i, own in enumerate(left):
+        lo, hi = np.searchsorted(items, own, side="left"), np.searchsorted(items, own, side="right")
+        many = hi - lo
+        hit = owners[np.repeat(lo - (np.cumsum(many) - many), many) + np.arange(many.sum())]
+        common = np.bincount(hit, minlength=len(right))
+        out[i] = below * common >= above * (len(own) + sizes - common)
+    return out
+
+
 def near_duplicates(documents: DataFrame, *, words: int = WORDS, similarity=SIMILARITY, bands: int = BANDS,
                     rows: int = ROWS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept.
@@ -139,17 +155,22 @@ def near_duplicates(documents: DataFrame, *, words: int = WORDS, similarity=SIMI
     def near(x, y):  # no pair beyond this ratio of sizes reaches the similarity
         return (x("n") * below >= y("n") * above) & (y("n") * below >= x("n") * above)
 
+    def load(ids):
+        chosen = docs.join(ids.select(F.col("id").alias("_id")), F.col("doc_id") == F.col("_id"), "left_semi")
+        return materialize(chosen.mapInArrow(_sets(words), "id long, d1 long, items array<long>")
+                           .dropDuplicates(["id", "d1"]).select("id", F.col("items").alias("load")), "items")
+
     def verify(pairs):
-        ids = pairs.select(F.col("a").alias("_a")).union(pairs.select("b")).distinct()
-        chosen = docs.join(ids, F.col("doc_id") == F.col("_a"), "left_semi")
-        items = materialize(chosen.mapInArrow(_sets(words), "id long, d1 long, items array<long>")
-                            .dropDuplicates(["id", "d1"]).select("id", "items"), "items")
-        side = lambda s: items.select(F.col("id").alias(s), F.col("items").alias(f"i{s}"))
+        items = load(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct())
+        side = lambda s: items.select(F.col("id").alias(s), F.col("load").alias(f"i{s}"))
         both = pairs.join(side("b"), "b").join(side("a"), "a")
         common = F.size(F.array_intersect("ia", "ib"))
-        return both.where(below * common >= above * (F.size("ia") + F.size("ib") - common)).select("a", "b")
+        return both.where(below * common >= above * (F.size("ia") + F.size("ib") - common)).select("a", "b").distinct()
+
+    def kernel(left, right):
+        return _similar(left["load"].tolist(), right["load"].tolist(), above, below)
 
-    comps = materialize(linking.link(keys, near, verify), "components")
+    comps = materialize(linking.link(keys, near, verify, load, kernel), "components")
     labelled = sets.select("d1", "d2", "n", "id").join(
         comps.select(F.col("id").alias("_id"), "comp"), F.col("id") == F.col("_id"), "left")
     labelled = labelled.select(

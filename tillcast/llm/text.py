@@ -147,9 +147,10 @@ def shingles(hashes, docs, k):
     whole = np.ones(n, dtype=bool)
     for i in range(k):
         same = np.zeros(n, dtype=bool)
-        same[:n - i] = docs[i:] == docs[:n - i]
         shifted = np.zeros(n, dtype=np.uint64)
-        shifted[:n - i] = hashes[i:]
+        if i < n:
+            same[:n - i] = docs[i:] == docs[:n - i]
+            shifted[:n - i] = hashes[i:]
         total += np.where(same, shifted, np.uint64(0)) * odd[i]
         whole &= same
     begins = np.ones(n, dtype=bool)
