@@ -48,7 +48,7 @@ PIECES = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa
 def _tokens(vocabulary, end):
     def tokens(batches):
         encoder = bpe.Encoder.load(vocabulary)
-        for batch in arrow.slices(batches, "text"):
+        for batch in arrow.slices(batches, "text", 4 << 20):
             data, offsets = text.buffers(batch.column("text"))
             ids, begin = encoder.encode(data, offsets)
             n = batch.num_rows
