@@ -89,6 +89,29 @@ def test_all_windows_share_one_exchange(spark):
     assert plan.count("Window [") == 1
 
 
+def test_rows_with_null_keys_survive_chunks(spark):
+    panel = make_panel(spark, [120, 120]).withColumn("store_id", F.when(F.col("store_id") == 0, F.col("store_id")))
+    plain = features.add_series_features(panel).orderBy("store_id", "dt")
+    cut = features.add_series_features(panel, chunk_rows=95).orderBy("store_id", "dt")
+    names = ["store_id", "dt", "lag_7", "rolling_mean_28", "series_scale"]
+    assert plain.count() == 240
+    assert [tuple(r) for r in cut.select(names).collect()] == [tuple(r) for r in plain.select(names).collect()]
+
+
+def test_calendar_windows_equal_row_windows_on_a_dense_panel_and_skip_gaps(spark):
+    dense = make_panel(spark, [60, 40])
+    names = ["store_id", "dt", "lag_7", "rolling_mean_14", "rolling_std_7", "stockout_ratio_28d", "series_scale"]
+    by_rows = features.add_series_features(dense).select(names).orderBy("store_id", "dt").collect()
+    by_days = features.add_calendar_features(dense).select(names).orderBy("store_id", "dt").collect()
+    for a, b in zip(by_rows, by_days):
+        assert tuple(a)[:2] == tuple(b)[:2] and tuple(a)[2:] == pytest.approx(tuple(b)[2:])
+    gap = features.add_calendar_features(dense.filter(F.dayofmonth("dt") != 5)).filter(
+        (F.col("store_id") == 0) & (F.col("dt") == START + dt.timedelta(days=11))).first()
+    assert gap["lag_7"] is None
+    plan = features.add_calendar_features(dense)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and plan.count("Window [") == 1
+
+
 def test_calendar_and_fourier(spark):
     df = spark.createDataFrame([(dt.date(2024, 12, 30),), (dt.date(2024, 12, 29),)], "dt date")
     rows = features.add_fourier(features.add_calendar(df)).orderBy("dt").collect()
@@ -119,13 +142,18 @@ def test_target_encoding_uses_training_rows_and_defaults_to_their_mean(spark):
 
 def test_median_fill_and_standardizer(spark):
     df = spark.createDataFrame([(1.0, 5.0), (2.0, 5.0), (None, 5.0), (10.0, None)], "a double, b double")
-    fill = encoding.MedianFill.fit(df, ["a", "b"], needed_by=df)
+    fill = encoding.MedianFill.fit(df, ["a", "b"])
     filled = fill.transform(df)
     assert [r["a"] for r in filled.collect()] == [1.0, 2.0, 2.0, 10.0]
     scaled = encoding.Standardizer.fit(filled, ["a", "b"]).transform(filled).collect()
     assert [r["b"] for r in scaled] == [0.0] * 4
 
 
+def test_ingest_turns_nan_in_hours_into_null(spark):
+    df = spark.createDataFrame([([1.0, float("nan")], "2024-01-01")], "h array<double>, dt string")
+    assert ingest(df).first()["h"] == [1.0, None]
+
+
 def test_ingest_turns_nan_into_null(spark):
     df = spark.createDataFrame([(float("nan"), "2024-01-01")], "x double, dt string")
     row = ingest(df).first()

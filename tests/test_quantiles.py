@@ -29,6 +29,14 @@ def test_two_tied_halves(spark):
     assert exact_medians(df, ["x"], max_rows=1) == {"x": 1.5}
 
 
+@pytest.mark.parametrize("low, high, between", [
+    (500, 500, 41), (500, 460, 41), (460, 500, 41), (520, 500, 20), (500, 520, 20), (520, 500, 19), (500, 501, 0), (400, 400, 1)])
+def test_many_values_between_two_frequent_ones(spark, low, high, between):
+    values = [0.0] * low + [100.0] * high + [10 + i / 7 for i in range(between)]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    assert exact_medians(df, ["x"], max_rows=5) == {"x": pytest.approx(statistics.median(values))}
+
+
 def test_single_row_and_no_rows(spark):
     df = spark.createDataFrame([(4.0,)], "x double")
     assert exact_medians(df, ["x"]) == {"x": 4.0}

@@ -1,3 +1,5 @@
+import datetime as dt
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -22,6 +24,35 @@ def test_splits_prefer_eval_then_validation(spark):
     assert panel.read_splits(spark, base)[1].count() == 2
 
 
+def test_panel_in_the_types_of_the_file(spark):
+    df = spark.createDataFrame(ROW, PANEL).withColumns({
+        "dt": F.lit("2024-01-05"), "holiday_flag": F.lit(1).cast("long"), "hours_stock_status": F.col("hours_stock_status").cast("array<long>"),
+        "extra": F.lit("x")})
+    path = shared_path(spark, "text-days")
+    df.write.parquet(path)
+    back = panel.read_panel(spark, path)
+    assert back.schema.names == [*PANEL.names, "extra"]
+    assert [f.dataType for f in back.schema.fields][:len(PANEL)] == [f.dataType for f in PANEL.fields]
+    assert back.first()["dt"] == dt.date(2024, 1, 5) and back.first()["holiday_flag"] == 1
+    df.drop("dt").write.parquet(f"{path}-cut")
+    with pytest.raises(MissingColumns):
+        panel.read_panel(spark, f"{path}-cut")
+
+
+def test_a_cluster_must_name_a_shared_folder():
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext, conf = Context(), {}
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(Session())
+
+
 def test_first_readable_path_wins(spark):
     base = shared_path(spark, "candidates")
     with pytest.raises(FileNotFoundError):

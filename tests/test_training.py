@@ -41,10 +41,9 @@ def test_prepared_rows_are_complete(data, panel):
     assert counts == {"train": 20 * 66, "val": 140, "test": 140}
 
 
-def test_a_long_series_is_cut_without_changing_features(panel, data, monkeypatch):
-    monkeypatch.setattr(training, "LONG_SERIES", 79)
+def test_a_long_series_is_cut_without_changing_features(panel, data):
     with pytest.raises(ValueError):
-        training.prepare(panel)  # a chunk must cover the longest look-back
+        training.prepare(panel, chunk_rows=79)  # a chunk must cover the longest look-back
     cut = training.prepare(panel, chunk_rows=90)
     names = ["lag_28", "rolling_std_28", "series_scale"]
     key = lambda r: (r["store_id"], r["dt"])
@@ -66,6 +65,14 @@ def test_benchmark_and_models_beat_the_naive_forecast(data):
     assert len({r["n"] for r in table.values()}) == 1
 
 
+def test_gaps_in_a_held_out_panel_are_filled(panel, data):
+    assert data.fill.medians["precpt"] is not None     # the fitting panel has no gap there
+    held = panel.filter(F.col("dt") >= F.lit(START + dt.timedelta(days=75))).withColumn("precpt", F.lit(None).cast("double"))
+    early = panel.filter(F.col("dt") < F.lit(START + dt.timedelta(days=75)))
+    filled = training.prepare_held_out(early, held, data)
+    assert filled.count() == held.count() and filled.filter("precpt is null").count() == 0
+
+
 def test_held_out_panel_continues_the_training_panel(panel, data):
     cut = F.lit(START + dt.timedelta(days=70))
     early = training.prepare(panel.filter(F.col("dt") < cut))

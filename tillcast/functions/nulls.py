@@ -6,10 +6,24 @@ from pyspark.sql import types as T
 from tillcast.constants import MIN_DENOMINATOR
 
 
+def _known(column):
+    return F.when(~F.isnan(column), column)
+
+
 def nan_to_null(df):
-    """Turn NaN into NULL in every floating column, so that averages skip it."""
-    floats = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
-    return df.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in floats}) if floats else df
+    """Turn NaN into NULL in floating columns and arrays, so that averages and sums skip it."""
+    floats = (T.DoubleType, T.FloatType)
+    changed = {f.name: _known(F.col(f.name)) for f in df.schema.fields if isinstance(f.dataType, floats)}
+    changed |= {f.name: F.transform(f.name, _known) for f in df.schema.fields
+                if isinstance(f.dataType, T.ArrayType) and isinstance(f.dataType.elementType, floats)}
+    return df.withColumns(changed) if changed else df
+
+
+def join_keys(left, right, keys, how="inner"):
+    """Join on keys of which NULL equals NULL; ``right`` holds each key once. Keys come from ``left``."""
+    names = {k: f"_right_{k}" for k in keys}
+    on = [F.col(k).eqNullSafe(F.col(n)) for k, n in names.items()]
+    return left.join(right.withColumnsRenamed(names), on, how).drop(*names.values())
 
 
 def non_negative(column):

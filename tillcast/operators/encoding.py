@@ -67,13 +67,9 @@ class MedianFill:
     medians: dict
 
     @classmethod
-    def fit(cls, df, columns, needed_by=None):
-        """Medians over ``df``; with ``needed_by`` only of columns that lack a value there."""
-        if needed_by is not None:
-            columns = list(columns)
-            gaps = needed_by.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns]).first()
-            columns = [c for c in columns if gaps[c]]
-        return cls(exact_medians(df, columns) if columns else {})
+    def fit(cls, df, columns):
+        """Medians over ``df`` of every column, whether it has gaps there or not."""
+        return cls(exact_medians(df, list(columns)))
 
     def transform(self, df):
         present = {c: m for c, m in self.medians.items() if m is not None}

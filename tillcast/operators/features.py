@@ -11,6 +11,7 @@ from tillcast.constants import (
     DATE, LAGS, RATIO_OFFSET, SCALE_MIN_ROWS, SCALE_WINDOW, SERIES_KEYS, WINDOWS,
 )
 from tillcast.functions.calendar import calendar_columns, fourier_columns
+from tillcast.functions.nulls import join_keys
 
 
 def lag_columns(window, target="y_eff", lags=LAGS):
@@ -41,6 +42,28 @@ def series_columns(window, target="y_eff"):
     }
 
 
+def calendar_series_columns(window, target="y_eff"):
+    """The look-back columns by days instead of rows, for panels with gaps.
+
+    ``window`` must be ordered by the number of the day. ``lag_7`` is the value seven days
+    before, NULL if there is no row; a mean over 28 days covers the rows of those days.
+    """
+    between = lambda first, last: window.rangeBetween(-first, -last)
+    lags = {f"lag_{k}": F.max(target).over(between(k, k)) for k in LAGS}
+    means = {f"rolling_mean_{w}": F.avg(target).over(between(w, 1)) for w in WINDOWS}
+    stds = {f"rolling_std_{w}": F.stddev_samp(target).over(between(w, 1)) for w in WINDOWS}
+    ratios = {f"stockout_ratio_{w}d": F.avg("stockout_ratio").over(between(w, 1)) for w in WINDOWS}
+    scale = between(SCALE_WINDOW, 1)
+    enough = F.count(target).over(scale) >= SCALE_MIN_ROWS
+    return {**lags, **means, **stds, **ratios, "series_scale": F.when(enough, F.avg(target).over(scale))}
+
+
+def add_calendar_features(df, columns=calendar_series_columns, keys=SERIES_KEYS, date=DATE):
+    """Look-back columns by calendar days; one row per series and day is expected."""
+    window = Window.partitionBy(*keys).orderBy("_day")
+    return df.withColumn("_day", F.unix_date(F.to_date(date))).withColumns(columns(window)).drop("_day")
+
+
 def add_series_features(df, columns=series_columns, keys=SERIES_KEYS, date=DATE, chunk_rows=None):
     """Add look-back columns; ``columns`` maps a window to named expressions.
 
@@ -68,7 +91,7 @@ def add_chunked(df, columns, keys, date, chunk_rows, lookback=SCALE_WINDOW, buck
     offsets = rows.groupBy(*keys, "_bucket").agg(F.count("*").alias("_n")).select(
         *keys, "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
     inside = Window.partitionBy(*keys, "_bucket").orderBy(date)
-    numbered = rows.join(offsets, [*keys, "_bucket"]).withColumn(
+    numbered = join_keys(rows, offsets, [*keys, "_bucket"]).withColumn(
         "_ordinal", F.col("_offset") + F.row_number().over(inside) - 1)
     chunk = F.floor(F.col("_ordinal") / chunk_rows)
     is_tail = F.col("_ordinal") % chunk_rows >= chunk_rows - lookback

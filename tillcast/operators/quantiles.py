@@ -52,8 +52,9 @@ def exact_medians(df, columns, max_rows=MAX_ROWS):
     A sketch brackets the middle ranks of all columns in one pass; a second pass counts
     the rows below and inside the brackets. Brackets with too many rows shrink by the
     same two passes again, each time more than a hundredfold; one that cannot shrink is
-    held up by a few very frequent values. What remains is counted per value across the
-    cluster, and only the middle values leave it.
+    held up by very frequent values at its ends, which are counted apart and left behind.
+    What remains is counted per value across the cluster, and only the middle values
+    leave it. So no task ever sorts more than ``max_rows`` values of a column.
     """
     columns = list(columns)
     data = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
@@ -64,7 +65,7 @@ def exact_medians(df, columns, max_rows=MAX_ROWS):
         open_brackets = {c: b for c, b in open_brackets.items() if c in ranges}
         if not ranges:
             break
-        counts = _count(data, ranges)
+        counts, held_up = _count(data, ranges), {}
         for c, bracket in list(open_brackets.items()):
             n, below, inside = (counts[f"{c}|{k}"] for k in ("n", "below", "inside"))
             first, second = (n - 1) // 2, n // 2
@@ -78,13 +79,44 @@ def exact_medians(df, columns, max_rows=MAX_ROWS):
             if bracket.lo == bracket.hi:
                 medians[c] = bracket.lo
                 del open_brackets[c]
-            elif inside <= max_rows or stuck:
+            elif inside <= max_rows:
                 done[c] = open_brackets.pop(c)
+            elif stuck:
+                held_up[c] = inside
+        for c, median in _leave_ends(data, open_brackets, held_up).items():
+            medians[c] = median
+            del open_brackets[c]
     if done:
         medians.update(_middle_values(data, done))
     return medians
 
 
+def _leave_ends(data, brackets, held_up):
+    """Move brackets inside their end values; medians that the ends decide are returned."""
+    if not held_up:
+        return {}
+    aggs = []
+    for c in held_up:
+        lo, hi, x = F.lit(brackets[c].lo), F.lit(brackets[c].hi), F.col(c)
+        within = (x > lo) & (x < hi)
+        aggs += [F.count_if(x == lo).alias(f"{c}|lo"), F.count_if(x == hi).alias(f"{c}|hi"),
+                 F.min(F.when(within, x)).alias(f"{c}|next"), F.max(F.when(within, x)).alias(f"{c}|last")]
+    ends, decided = data.agg(*aggs).first().asDict(), {}
+    for c, inside in held_up.items():
+        b, n_lo, n_hi = brackets[c], ends[f"{c}|lo"], ends[f"{c}|hi"]
+        first, second = b.first - b.below, b.second - b.below
+        if n_lo <= first and second < inside - n_hi:
+            b.lo, b.hi, b.below = ends[f"{c}|next"], ends[f"{c}|last"], b.below + n_lo
+            b.targets = tuple((r - n_lo) / (inside - n_lo - n_hi) for r in (first, second))
+            if b.lo == b.hi:
+                decided[c] = b.lo
+        else:  # ranks follow each other, so one beside an end run is its neighbour
+            low = b.lo if first < n_lo else ends[f"{c}|last"] if first < inside - n_hi else b.hi
+            high = b.hi if second >= inside - n_hi else ends[f"{c}|next"] if second >= n_lo else b.lo
+            decided[c] = (low + high) / 2
+    return decided
+
+
 def _middle_values(data, brackets):
     """The median of each column from the value counts inside its bracket."""
     entries = F.array(*[

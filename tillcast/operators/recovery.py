@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tillcast.constants import DATE, HOURLY_COVARIATES, OPERATING_HOURS, SERIES_KEYS
 from tillcast.functions.arrays import array_sum, fill_stockouts, replace_operating
-from tillcast.functions.nulls import floored_ratio, non_negative
+from tillcast.functions.nulls import floored_ratio, join_keys, non_negative
 from tillcast.operators.hourly import hourly_cells
 
 HOURS = range(OPERATING_HOURS)
@@ -54,11 +54,11 @@ def add_profile_imputations(df, keys=SERIES_KEYS, date=DATE, masked="masked"):
     overall = stores.agg(_sums("store_t", "t"), _sums("store_n", "n")).select(_mean("t", "n")).scalar()
     none_known = F.array_repeat(F.lit(0.0), OPERATING_HOURS)
     profiles = (
-        series.join(stores, store).withColumn("_all", overall)
+        join_keys(series, stores, [store]).withColumn("_all", overall)
         .withColumn("_store", _first_known(_mean("store_t", "store_n"), _first_known("_all", none_known)))
         .select(*keys, "_weekdays", _first_known(_mean("t", "n"), "_store").alias("imputed_hour"))
     )
-    joined = rows.join(profiles, keys)
+    joined = join_keys(rows, profiles, keys)
     weekday_mean = F.col("_weekdays")[F.col("_dow")]
     return joined.withColumn("imputed_weekday", _first_known(weekday_mean, "imputed_hour")).drop(
         "_dow", "_weekdays")

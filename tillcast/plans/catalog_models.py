@@ -51,7 +51,18 @@ def metrics_all_days(spark, base):
 
 
 def metrics_per_city(spark, base):
-    return rounded(metrics.score_models(looked_panel(spark, base), {"last week": "lag_7"}, by=["city_id"]))
+    """The best model of the test week, in each city."""
+    rows = materialize(test_rows(spark, base), "test")
+    best = metrics.best_model(metrics.score_models(rows, SIMPLE)).select(F.col("model").alias("_best"))
+    scored = metrics.score_models(rows, SIMPLE, by=["city_id"])
+    return rounded(scored.join(best, F.col("model") == F.col("_best"), "left_semi"))
+
+
+def feat_calendar_windows(spark, base):
+    """Look-back columns by calendar days on a panel with gaps."""
+    looked = features.add_calendar_features(sales_panel(spark, base))
+    return rounded(looked.select(*KEYS, "lag_1", "lag_7", "lag_28", "rolling_mean_28", "rolling_std_28",
+                                 "stockout_ratio_28d", "series_scale"))
 
 
 def metrics_validation(spark, base):
@@ -116,7 +127,7 @@ def stacking_summary(spark, base):
 def knn_panel(spark, base):
     panel = filled_panel(spark, base, NEAR)
     scaler = encoding.Standardizer.fit(split.part(panel, "train"), NEAR)
-    scaled = panel.withColumns({c: F.round(scaler.expression(c), 6) for c in NEAR})
+    scaled = scaler.transform(panel)
     return materialize(scaled.select("series_id", "dt", "split", "sale_amount_pred", *NEAR, F.concat_ws(
         "@", "series_id", F.col("dt").cast("string")).alias("row_id")), "scaled")
 
@@ -258,13 +269,12 @@ def ablation_run(spark, base):
 def permutation_importance(spark, base):
     data = prepared(spark, base)
     model = fit_trees(data.split("train"), FEATURES, "sale_amount_pred", SMALL.boosted, "sample_weight")
-    sample = materialize(importance.sample_rows(data.split("train")), "sample")
-    grown = importance.permutation_importance(sample, model, FEATURES, "sale_amount_pred")
+    grown = importance.permutation_importance(data.split("train"), model, FEATURES, "sale_amount_pred")
     return importance.ranked(grown.join(split_importance(spark, model, FEATURES), "feature"), "wape_growth")
 
 
 def sampled_rows(spark, base):
-    return importance.sample_rows(sales_panel(spark, base)).select(*KEYS, "sale_amount")
+    return rounded(importance.sample_rows(sales_panel(spark, base)).select(*KEYS, "sale_amount"))
 
 
 def model_inventory(spark, base):
@@ -277,7 +287,7 @@ def model_inventory(spark, base):
 
 
 QUERIES = {f.__name__: f for f in (
-    metrics_models, metrics_all_days, metrics_per_city, metrics_validation, best_model, model_verdict,
+    feat_calendar_windows, metrics_models, metrics_all_days, metrics_per_city, metrics_validation, best_model, model_verdict,
     ablation_delta, metrics_union, blend_70_30, ridge_closed_form, stacking_ridge, stacking_folds,
     stacking_summary, knn_brute, forecaster_input, city_list, recovered_forecast, backtest_naive, backtest_ma, backtest_drift, backtest_aligned,
     linear_attribution, top_features, report_markdown, gbt_forecast, gbt_fine_forecast, rf_forecast,

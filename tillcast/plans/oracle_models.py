@@ -1,7 +1,10 @@
 """The SQL each forecast query must agree with."""
 
+from tillcast.constants import IMPORTANCE_SAMPLE, SCALE_MIN_ROWS, SCALE_WINDOW
+from tillcast.operators.report import ABLATION_HEAD, HEAD
 from tillcast.plans.oracle_features import LOOKED, PANEL, rnd, split_of
 from tillcast.plans.oracle_recovery import CELLS, IMPUTED, RECOVERED
+from tillcast.sources.models import MODEL_NAMES
 
 SIMPLE = {"last week": "lag_7", "mean of 28": "rolling_mean_28", "series mean": "series_scale"}
 _BASE = f"WITH {PANEL}, {LOOKED}, {split_of('looked', calendar=False)}"
@@ -121,15 +124,10 @@ _ATTRIBUTION = f"""{_LINEAR_FILLED}, {ridge_of('filled', LINEAR, 'sale_amount_pr
     f"""SELECT '{c}' AS feature, {rnd('mean_abs', f'avg(abs(b{i} * ({c} - a_{c})))')}
     FROM filled CROSS JOIN beta CROSS JOIN plain WHERE split = 'train'""" for i, c in enumerate(LINEAR, 1)) + ")"
 
-_HEAD = ["# Benchmark Results", "", "## Demand Forecasting", "",
-         "| Model | N | RMSE | MAE | R² | WAPE (%) | WPE (%) | ρ_DS |",
-         "|-------|---|------|-----|----|----------|---------|------|"]
-_MIDDLE = ["", "## Ablation Study", "", "| Ablation | Condition | WAPE (%) | Δ WAPE |",
-           "|----------|-----------|----------|--------|"]
 
 
-def _text(lines, start):
-    return " UNION ALL ".join(f"SELECT CAST({start + i} AS BIGINT) AS line_no, '{t}' AS line" for i, t in enumerate(lines))
+def _text(lines, section):
+    return " UNION ALL ".join(f"SELECT {section} AS section, {i} AS rank, '{t}' AS line" for i, t in enumerate(lines))
 
 
 _DELTA_TABLE = "deltas AS (" + " UNION ALL ".join(
@@ -142,6 +140,10 @@ _HANDED_OVER = RECOVERED.replace("panel AS (SELECT *", """panel AS (SELECT *, sa
 SQL = {
     "forecaster_input": f"""WITH {PANEL} SELECT series_id AS unique_id, dt AS ds, {rnd('y', 'coalesce(y_eff, 0)')}
         FROM panel""",
+    "sampled_rows": f"""WITH {PANEL} SELECT {_K}, {rnd('sale_amount')} FROM panel
+        ORDER BY md5(concat_ws('|', store_id, product_id, dt, 42)) LIMIT {IMPORTANCE_SAMPLE}""",
+    "model_inventory": "SELECT * FROM (VALUES " + ", ".join(
+        f"('{n}', {n == 'ridge'})" for n in MODEL_NAMES) + ") v(model, loaded)",
     "city_list": f"WITH {PANEL} SELECT DISTINCT city_id FROM panel",
     "recovered_forecast": f"""WITH {CELLS}, {IMPUTED}, {_HANDED_OVER}, {LOOKED}, {split_of('looked', calendar=False)},
         {long_of({'last week': 'lag_7', 'mean of 7': 'rolling_mean_7'}, "split = 'test'")}, {metrics_of()}
@@ -149,8 +151,19 @@ SQL = {
     "metrics_models": f"{_TEST} SELECT model, n, {_METRICS} FROM scored",
     "metrics_all_days": f"""{_BASE}, {long_of(SIMPLE, "split = 'test'")}, {metrics_of(masked=False)}
         SELECT model, n, {_METRICS} FROM scored""",
-    "metrics_per_city": f"""{_BASE}, {long_of({'last week': 'lag_7'}, 'true', extra=', city_id')},
-        {metrics_of(by='city_id,')} SELECT city_id, model, n, {_METRICS} FROM scored""",
+    "metrics_per_city": f"""{_TEST}, {long_of(SIMPLE, "split = 'test'", 'long_city', ', city_id')},
+        {metrics_of('long_city', 'city_id,', name='scored_city')},
+        best AS (SELECT model FROM scored WHERE n > 0 ORDER BY wape, model LIMIT 1)
+        SELECT city_id, model, n, {_METRICS} FROM scored_city JOIN best USING (model)""",
+    "feat_calendar_windows": f"""WITH {PANEL} SELECT {_K}, {', '.join(rnd(f'lag_{k}', f"""(SELECT max(b.y_eff) FROM panel b
+          WHERE b.series_id = a.series_id AND b.dt = a.dt - {k})""") for k in (1, 7, 28))},
+        {rnd('rolling_mean_28', 'avg(y_eff) OVER w28')}, {rnd('rolling_std_28', 'stddev_samp(y_eff) OVER w28')},
+        {rnd('stockout_ratio_28d', 'avg(stockout_ratio) OVER w28')},
+        {rnd('series_scale', f'CASE WHEN count(y_eff) OVER w >= {SCALE_MIN_ROWS} THEN avg(y_eff) OVER w END')}
+        FROM panel a WINDOW w28 AS (PARTITION BY series_id ORDER BY dt
+          RANGE BETWEEN INTERVAL 28 DAYS PRECEDING AND INTERVAL 1 DAY PRECEDING),
+          w AS (PARTITION BY series_id ORDER BY dt
+          RANGE BETWEEN INTERVAL {SCALE_WINDOW} DAYS PRECEDING AND INTERVAL 1 DAY PRECEDING)""",
     "metrics_validation": f"""{_BASE}, {long_of({'part one': 'rolling_mean_7', 'part two': 'rolling_mean_28',
         'blend': '0.7::DOUBLE * rolling_mean_7 + 0.3::DOUBLE * rolling_mean_28'}, "split = 'val'")},
         {metrics_of()} SELECT model, n, {rnd('wape')}, {rnd('wpe')} FROM scored""",
@@ -178,7 +191,7 @@ SQL = {
         scales AS (SELECT {', '.join(f"avg({c}) AS mu_{c}, coalesce(nullif(stddev_pop({c}), 0), 1) AS sd_{c}" for c in NEAR)}
           FROM filled WHERE split = 'train'),
         zed AS (SELECT series_id || '@' || dt::VARCHAR AS row_id, split, sale_amount_pred AS value,
-          {', '.join(f'round(({c} - mu_{c}) / sd_{c}, 6) AS x{i}' for i, c in enumerate(NEAR))}
+          {', '.join(f'({c} - mu_{c}) / sd_{c} AS x{i}' for i, c in enumerate(NEAR))}
           FROM filled CROSS JOIN scales),
         pairs AS (SELECT q.row_id AS query, t.row_id AS neighbor, t.value,
           sqrt({' + '.join(f'(q.x{i} - t.x{i}) * (q.x{i} - t.x{i})' for i in range(len(NEAR)))}) AS distance
@@ -200,14 +213,15 @@ SQL = {
     "linear_attribution": f"{_ATTRIBUTION} SELECT * FROM attribution",
     "top_features": f"{_ATTRIBUTION} SELECT * FROM attribution ORDER BY mean_abs DESC, feature LIMIT 2",
     "per_city_ridge": None,
-    "report_markdown": f"""{_TEST}, {_DELTA_TABLE} {_text(_HEAD, 1)} UNION ALL
-        SELECT 100 + row_number() OVER (ORDER BY wape, model), '| ' || model || ' | ' || format('{{:,}}', n)
+    "report_markdown": f"""{_TEST}, {_DELTA_TABLE}, lines AS ({_text(HEAD, 0)} UNION ALL
+        SELECT 1, row_number() OVER (ORDER BY wape, model), '| ' || model || ' | ' || format('{{:,}}', n)
           || printf(' | %.4f | %.4f | %.4f | %.2f | %.2f | %.3f |', rmse, mae, r2, wape, wpe, rho_ds)
-        FROM scored WHERE n > 0 UNION ALL {_text([''], 1000)} UNION ALL
-        (SELECT 1001, '**Best model:** ' || model || printf(' (WAPE=%.2f%%)', wape) FROM scored WHERE n > 0
-         ORDER BY wape, model LIMIT 1) UNION ALL {_text(_MIDDLE, 1002)} UNION ALL
-        SELECT 1100 + row_number() OVER (ORDER BY ablation), '| ' || ablation || ' | ' || base || ' vs ' || variant
-          || printf(' | %.2f vs %.2f | %+.2f |', base_wape, variant_wape, variant_wape - base_wape) FROM deltas""",
+        FROM scored WHERE n > 0 UNION ALL {_text([''], 2)} UNION ALL
+        (SELECT 3, 0, '**Best model:** ' || model || printf(' (WAPE=%.2f%%)', wape) FROM scored WHERE n > 0
+         ORDER BY wape, model LIMIT 1) UNION ALL {_text(ABLATION_HEAD, 4)} UNION ALL
+        SELECT 5, row_number() OVER (ORDER BY ablation), '| ' || ablation || ' | ' || base || ' vs ' || variant
+          || printf(' | %.2f vs %.2f | %+.2f |', base_wape, variant_wape, variant_wape - base_wape) FROM deltas)
+        SELECT row_number() OVER (ORDER BY section, rank) AS line_no, line FROM lines""",
 }
 
 

@@ -18,7 +18,6 @@ from tillcast.operators.stacking import blend, fit_stack
 from tillcast.operators.trees import BOOSTED, BOOSTED_ABLATION, BOOSTED_FINE, BOOSTED_GROUP, FOREST, fit_trees, score
 from tillcast.session import materialize
 
-LONG_SERIES = 100_000
 OBSERVED, RECOVERED, WEIGHT = "sale_amount", "sale_amount_pred", "sample_weight"
 
 
@@ -56,22 +55,20 @@ def prepare(panel, fit_scope="train", inputs=FEATURES, chunk_rows=None):
     """Features, split, weights, encodings and median fills.
 
     Medians come from the training rows, or from ``all`` rows; the target is never
-    filled. The result is written once and read by every model. A first pass over the
-    keys finds the panel's days and its longest series; series too long for one task are
-    cut into chunks.
+    filled. The panel is written once before its days are looked up, and the result once
+    for every model to read. ``chunk_rows`` cuts series too long for one task into chunks.
+    Medians are fitted for every input, also for those without gaps in this panel, so that
+    later panels can be filled.
     """
-    series = panel.groupBy(*SERIES_KEYS).agg(
-        F.count("*").alias("n"), F.min("dt").alias("first"), F.max("dt").alias("last"))
-    first, last, longest = series.agg(F.min("first"), F.max("last"), F.max("n")).first()
-    if chunk_rows is None and longest is not None and longest > LONG_SERIES:
-        chunk_rows = LONG_SERIES
+    panel = materialize(panel, "panel")
+    first, last = panel.agg(F.min("dt"), F.max("dt")).first()
     built = build_features(panel, anchor=first, chunk_rows=chunk_rows)
     base = materialize(add_weights(add_split(built, max_date=last), max_date=last), "features")
     encoder = TargetEncoder.fit(part(base, "train"))
     encoded = encoder.transform(base)
     scope = part(base, "train") if fit_scope == "train" else base
     numeric = [f for f in inputs if not f.endswith("_te")]
-    fill = MedianFill.fit(scope, numeric, needed_by=base)
+    fill = MedianFill.fit(scope, numeric)
     return Prepared(materialize(fill.transform(encoded), "model-input"), encoder, fill, first, list(inputs))
 
 

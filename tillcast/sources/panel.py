@@ -4,6 +4,7 @@ from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillcast.constants import DATE, HORIZON_DAYS, HOURS_PER_DAY, OPERATING_HOURS, SERIES_KEYS
 from tillcast.functions.nulls import nan_to_null
@@ -15,17 +16,28 @@ def ingest(df, date=DATE):
     return nan_to_null(df).withColumn(date, F.to_date(date))
 
 
+def conform(df, schema=PANEL):
+    """The columns of ``schema`` in its types; columns beyond it follow as they are.
+
+    Files may hold days as text or timestamps and flags in other integer types.
+    """
+    require_columns(df, schema.names)
+    cast = {f.name: F.to_date(f.name) if isinstance(f.dataType, T.DateType) else F.col(f.name).cast(f.dataType)
+            for f in schema.fields}
+    return df.withColumns(cast).select(*schema.names, *[c for c in df.columns if c not in schema.names])
+
+
 def read_panel(spark, path, schema=PANEL):
-    """A parquet panel with an explicit schema."""
-    return ingest(spark.read.schema(schema).parquet(path))
+    """A parquet panel in the file's own types, cast to ``schema``."""
+    return ingest(conform(spark.read.parquet(path), schema))
 
 
 def read_first(spark, candidates, schema=None):
     """The first readable parquet path of an ordered list."""
     for path in candidates:
-        reader = spark.read.schema(schema) if schema is not None else spark.read
         try:
-            return ingest(reader.parquet(path))
+            found = spark.read.parquet(path)
+            return ingest(conform(found, schema) if schema is not None else found)
         except AnalysisException as error:
             if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
                 raise
@@ -120,6 +132,6 @@ def assert_dense(df, horizon=HORIZON_DAYS):
 
 
 __all__ = [
-    "RECOVERED_PANEL", "assert_dense", "check_hour_arrays", "densify", "ingest", "read_first",
+    "RECOVERED_PANEL", "assert_dense", "check_hour_arrays", "conform", "densify", "ingest", "read_first",
     "read_panel", "read_recovered", "read_splits", "series_density", "union_all", "with_series_columns",
 ]
