@@ -3,6 +3,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from tillcast.operators import backtest, importance, neighbors, per_group, report, ridge, stacking, trees
@@ -259,3 +260,48 @@ def test_report_and_sinks(spark):
     importances = spark.createDataFrame([("a", 0.1), ("b", 0.9)], "feature string, v double")
     sinks.write_importance(importances, f"{path}-csv", "v")
     assert [r["feature"] for r in spark.read.option("header", True).csv(f"{path}-csv").collect()] == ["b", "a"]
+
+
+def test_a_whole_run_is_saved_and_scores_the_same_from_disk(spark, train):
+    from tillcast.operators.encoding import MedianFill, Standardizer, TargetEncoder
+    from tillcast.operators.requests import add_base_predictions, add_ensemble, over_predictions
+    from tillcast.operators.ridge import ridge_from_moments
+    from tillcast.operators.stacking import Stack, fit_stack
+    from tillcast.plans.training import Prepared
+
+    bases = {n: ridge_from_moments(train, INPUTS, "y", alpha) for n, alpha in
+             (("xgboost", 1.0), ("lgb_observed", 50.0), ("lgb_recovered", 200.0), ("random_forest", 9.0), ("ridge", 2.0))}
+    scored = add_base_predictions(train, bases)
+    stack = fit_stack(scored, ["pred_xgboost", "pred_lightgbm", "pred_random_forest"], "y", "pred_lightgbm")
+    encoder = TargetEncoder.fit(train.withColumns({"month": F.lit(1), "y_eff": F.col("y")}), ["city_id"])
+    data = Prepared(train, encoder, MedianFill.fit(train, INPUTS), START)
+    path = shared_path(spark, "run")
+    store.save_run(spark, data, {**bases, "stacking": stack}, path)
+    models, parts = store.load_run(spark, path)
+    assert set(models) == {*bases, "stacking"} and set(parts) == {"encoder", "fill"}
+    assert parts["fill"].medians == data.fill.medians and parts["encoder"].overall == encoder.overall
+    one = add_ensemble(scored, stack).select("pred_ridge", "pred_ensemble").collect()
+    two = add_ensemble(add_base_predictions(train, models), models["stacking"]).select("pred_ridge", "pred_ensemble").collect()
+    assert [tuple(r) for r in one] == [tuple(r) for r in two]
+    assert Stack(["a"], None, "xgboost") and scored.select(over_predictions(Stack(["a"], None, "xgboost"))).columns == ["pred_xgboost"]
+    scaler = Standardizer.fit(train, INPUTS)
+    store.save_models({"scaler": scaler}, path)
+    assert store.load_models(path, ["scaler"])["scaler"] == scaler
+
+
+def test_rounds_are_cut_off_without_a_second_fit(train):
+    settings = trees.BOOSTED.sized(trees=12, depth=2, min_rows=1, step=0.3, rows=1.0, columns="all", patience=0)
+    full = trees.fit_trees(train, INPUTS, "y", settings)
+    short = trees.fit_trees(train, INPUTS, "y", settings.sized(trees=5))
+    cut = PipelineModel(stages=[full.stages[0], trees.first_rounds(full.stages[1], 5)])
+    key = ["store_id", "prediction"]
+    one = [tuple(r) for r in trees.score(cut, train).select(key).orderBy("store_id").collect()]
+    assert one == [tuple(r) for r in trees.score(short, train).select(key).orderBy("store_id").collect()]
+    assert len(one) == train.count()
+
+
+def test_boosting_stops_by_patience(spark, train):
+    noise = train.withColumn("y", F.rand(3))
+    model = trees.fit_trees(noise, INPUTS, "y", trees.BOOSTED.sized(trees=30, depth=4, min_rows=1, step=0.5, patience=3),
+                            validation=train.withColumn("y", F.rand(5)))
+    assert 0 < model.stages[-1].getNumTrees < 30

@@ -23,7 +23,7 @@ ABLATED = {"recent against long mean": ("series mean", "mean of 28"), "week agai
 LINEAR = ["lag_1", "rolling_mean_28", "series_scale"]
 NEAR = ["lag_1", "rolling_mean_28", "series_scale", "discount"]
 BASES = {"xgboost": "lag_7", "lightgbm": "rolling_mean_28", "random_forest": "series_scale"}
-SMALL = training.Sizes().scaled(trees=5, depth=4)
+SMALL = training.Sizes().scaled(trees=20, depth=6)
 
 
 def looked_panel(spark, base):
@@ -240,7 +240,7 @@ def ridge_forecast(spark, base):
 def per_city_models(spark, base):
     data = prepared(spark, base)
     scored, _ = fit_trees_per_group(data.split("train"), data.split("test"), "city_id", FEATURES,
-                                    "sale_amount_pred", SMALL.group.sized(trees=2))
+                                    "sale_amount_pred", SMALL.group.sized(trees=5))
     return scored.select(*KEYS, "city_id", "prediction")
 
 
@@ -262,7 +262,7 @@ def benchmark_run(spark, base):
 
 def ablation_run(spark, base):
     data = prepared(spark, base)
-    scored = training.run_ablations(data, training.Sizes().scaled(trees=2, depth=4))
+    scored = training.run_ablations(data, training.Sizes().scaled(trees=8, depth=6))
     return metrics.ablation_deltas(scored, training.ABLATIONS)
 
 

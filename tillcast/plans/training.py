@@ -32,8 +32,9 @@ class Sizes:
     group: object = BOOSTED_GROUP
 
     def scaled(self, trees, depth):
-        """The same settings with fewer and shallower trees, for trial runs."""
-        change = lambda s: s.sized(trees=min(s.trees, trees), depth=min(s.depth, depth))
+        """The same settings with fewer and shallower trees, and a patience to match, for trial runs."""
+        change = lambda s: s.sized(
+            trees=min(s.trees, trees), depth=min(s.depth, depth), patience=min(s.patience, max(2, trees // 5)))
         return Sizes(*map(change, (self.boosted, self.fine, self.forest, self.ablation, self.group)))
 
 
