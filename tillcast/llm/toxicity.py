@@ -31,8 +31,9 @@ from tillcast.session import materialize
 
 ACCEPT = 0.7
 PREFIXES = (4, 5, 6)    # bytes of word beginnings in the lexicon
-LEAST_DOCUMENTS = 8     # toxic sample documents that an entry occurs in, at least
-LEAST_ODDS = 1.5        # lower bound of an entry's log-odds
+LEAST_DOCUMENTS = 5     # toxic sample documents that an entry occurs in, at least,
+LEAST_SHARE = 0.015     # and their share of all toxic sample documents
+LEAST_ODDS = 2.0        # lower bound of an entry's log-odds
 ENTRIES = 50_000        # entries of the lexicon, at most
 REACH = 3               # words that a negation reaches over
 
@@ -211,7 +212,8 @@ def train(documents: DataFrame, labels: DataFrame, *, rows=None, label="toxic",
         F.sum("toxic").alias("a"), F.sum("clean").alias("b"))
     odds = F.log((F.col("a") + 0.5) / (toxic + 1)) - F.log((F.col("b") + 0.5) / (clean + 1)) \
         - 1.64 * F.sqrt(1 / (F.col("a") + 0.5) + 1 / (F.col("b") + 0.5))
-    found = counted.where(F.col("a") >= LEAST_DOCUMENTS).select("entry", odds.alias("weight")) \
+    # words of a group of near copies are too few for the share, however sure their odds look
+    found = counted.where(F.col("a") >= max(LEAST_DOCUMENTS, LEAST_SHARE * toxic)).select("entry", odds.alias("weight")) \
         .where(F.col("weight") >= LEAST_ODDS).orderBy(F.desc("weight"), "entry").limit(ENTRIES).toPandas()
     lexicon = seeded(found["entry"].to_numpy(dtype=np.int64).view(np.uint64), found["weight"])
     shared = spark.sparkContext.broadcast(lexicon)
