@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from tillcast.session import materialize
 
 PIVOT_ROUNDS = 2
-TILE = 512      # rows of one side of a tile
+TILE = 256      # rows of one side of a tile
 
 
 def components(edges: DataFrame) -> DataFrame:

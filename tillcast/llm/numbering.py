@@ -8,7 +8,7 @@ Only DataFrame operations are used.
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-ROWS_PER_BLOCK = 20_000
+ROWS_PER_BLOCK = 4_000
 
 
 def block_count(rows: int) -> int:
