@@ -62,7 +62,9 @@ def test_benchmark_and_models_beat_the_naive_forecast(data):
     for name in ("XGBoost (global)", "Random Forest (global)", "Ridge Regression", "Stacking Ensemble"):
         assert table[name]["wape"] < naive["wape"], name
     assert models["stacking"].model is not None
-    assert len({r["n"] for r in table.values()}) == 1
+    assert len({r["n"] for n, r in table.items() if n not in ("Seasonal naive", "Moving average", "Drift")}) == 1
+    value = training.stacking_value(scored).collect()
+    assert [r["ablation"] for r in value] == ["Stacking value"] and value[0]["variant_wape"] == table["Stacking Ensemble"]["wape"]
 
 
 def test_gaps_in_a_held_out_panel_are_filled(panel, data):

@@ -11,8 +11,9 @@ from tillcast.operators.trees import fit_trees, score, split_importance
 from tillcast.plans import training
 from tillcast.plans.recovering import recover_panel
 from tillcast.plans.rounding import rounded
-from tillcast.schemas import require_columns
+from tillcast.schemas import METRICS, require_columns
 from tillcast.session import materialize, shared_path
+from tillcast.sources import sinks
 from tillcast.sources.models import inventory, load_models, save_models
 from tillcast.sources.panel import union_all, with_series_columns
 from tillcast.sources.tables import hourly_panel, sales_panel
@@ -139,6 +140,52 @@ def knn_brute(spark, base):
     return rounded(neighbors.knn_predictions(found))
 
 
+def held_out_features(spark, base):
+    """A separate evaluation panel without weather: look-back into the training panel, fitted fills."""
+    panel = materialize(sales_panel(spark, base), "panel")
+    end = panel.agg(F.max("dt")).first()[0]
+    held = panel.filter(F.datediff(F.lit(end), "dt") < 14).withColumn("precpt", F.lit(None).cast("double"))
+    early = panel.filter(F.datediff(F.lit(end), "dt") >= 14)
+    columns = ["lag_1", "rolling_mean_28", "series_scale", "precpt"]
+    data = training.prepare(early, inputs=columns)
+    return rounded(training.prepare_held_out(early, held, data).select(*KEYS, *columns))
+
+
+def sink_panel(spark, base):
+    """The panel written by city and read back."""
+    path = shared_path(spark, "sink")
+    sinks.write_panel(sales_panel(spark, base), path, partition_by="city_id")
+    return rounded(spark.read.parquet(path).select(*KEYS, "city_id", "sale_amount"))
+
+
+def sink_metrics(spark, base):
+    """Metric records written as JSON and read back."""
+    path = shared_path(spark, "sink")
+    sinks.write_metrics(metrics.score_models(test_rows(spark, base), SIMPLE), path)
+    return rounded(spark.read.schema(METRICS).json(path))
+
+
+def sink_importance(spark, base):
+    """Importances written as CSV and read back."""
+    path = shared_path(spark, "sink")
+    sinks.write_importance(linear_attribution(spark, base), path, "mean_abs")
+    return spark.read.schema("feature string, mean_abs double").option("header", True).csv(path)
+
+
+def sink_report(spark, base):
+    """The report written as text and read back."""
+    path = shared_path(spark, "sink")
+    sinks.write_report(report_markdown(spark, base), path)
+    return spark.read.text(path).withColumnRenamed("value", "line")
+
+
+def sink_forecasts(spark, base):
+    """Plain forecasts written and read back."""
+    path = shared_path(spark, "sink")
+    sinks.write_forecasts(backtest_ma(spark, base), path)
+    return spark.read.parquet(path)
+
+
 def forecaster_input(spark, base):
     return rounded(backtest.forecaster_frame(sales_panel(spark, base)))
 
@@ -292,5 +339,6 @@ QUERIES = {f.__name__: f for f in (
     stacking_summary, knn_brute, forecaster_input, city_list, recovered_forecast, backtest_naive, backtest_ma, backtest_drift, backtest_aligned,
     linear_attribution, top_features, report_markdown, gbt_forecast, gbt_fine_forecast, rf_forecast,
     ridge_forecast, per_city_models, per_city_ridge, benchmark_run, ablation_run, permutation_importance,
-    sampled_rows, model_inventory,
+    sampled_rows, model_inventory, held_out_features, sink_panel, sink_metrics, sink_importance, sink_report,
+    sink_forecasts,
 )}

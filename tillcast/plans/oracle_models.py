@@ -246,3 +246,21 @@ def _per_city():
 
 
 SQL["per_city_ridge"] = _per_city()
+
+
+def _held_out(columns=("lag_1", "rolling_mean_28", "series_scale")):
+    """The last 14 days, filled with medians of the rows a fortnight before what precedes them."""
+    fills = ", ".join(rnd(c, f"coalesce({c}, (SELECT median({c}) FROM fitted))") for c in columns)
+    return f"""WITH {PANEL}, {LOOKED}, early AS (SELECT max(dt) AS last FROM panel
+          WHERE dt <= (SELECT max(dt) FROM panel) - 14),
+      fitted AS (SELECT * FROM looked WHERE dt <= (SELECT last FROM early) - 14)
+      SELECT {_K}, {fills}, {rnd('precpt', '(SELECT median(precpt) FROM fitted)')} FROM looked
+      WHERE dt > (SELECT max(dt) FROM panel) - 14"""
+
+
+SQL |= {
+    "held_out_features": _held_out(),
+    "sink_panel": f"WITH {PANEL} SELECT {_K}, city_id, {rnd('sale_amount')} FROM panel",
+    "sink_metrics": SQL["metrics_models"], "sink_importance": SQL["linear_attribution"],
+    "sink_report": f"SELECT line FROM ({SQL['report_markdown']})", "sink_forecasts": SQL["backtest_ma"],
+}

@@ -8,6 +8,7 @@ from tillcast.constants import (
     FEATURES, FOURIER_PREFIXES, NEIGHBOURS, SERIES_KEYS, features_without,
 )
 from tillcast.operators import metrics
+from tillcast.operators.backtest import FORECASTERS, align, forecast, forecaster_frame, rolling_inputs
 from tillcast.operators.encoding import MedianFill, Standardizer, TargetEncoder
 from tillcast.operators.features import build_features
 from tillcast.operators.neighbors import knn_forecast
@@ -114,13 +115,21 @@ def add_knn(data, scored, inputs, k=NEIGHBOURS, target=RECOVERED):
     return scored.withColumn("_id", row_id).join(found, "_id", "left").drop("_id")
 
 
-def run_benchmark(data, sizes, knn_inputs=()):
+def add_backtests(data, scored, names=tuple(FORECASTERS)):
+    """Rolling-origin forecasts of the panel's series, as a column per forecaster."""
+    inputs = rolling_inputs(forecaster_frame(data.frame))
+    return align(scored, forecast(inputs, {n: FORECASTERS[n] for n in names}), list(names))
+
+
+def run_benchmark(data, sizes, knn_inputs=(), backtests=tuple(FORECASTERS)):
     """Validation and test rows with every model's prediction, and the models."""
     models = fit_base_models(data, sizes)
     held = data.frame.filter(F.col("split") != "train")
     scored = predict(held, models).withColumn("lightgbm", blend("lgb_observed", "lgb_recovered"))
     if knn_inputs:
         scored = add_knn(data, scored, list(knn_inputs))
+    if backtests:
+        scored = add_backtests(data, scored, backtests)
     scored = materialize(scored, "predictions")
     stack = fit_stack(part(scored, "val"), ["xgboost", "lightgbm", "random_forest"], RECOVERED, "lightgbm")
     return stack.transform(scored, "stacking"), {**models, "stacking": stack}
@@ -132,6 +141,7 @@ REPORT_NAMES = {
     "LGB-Recovered (global)": "lgb_recovered", "LGB Blend 70/30": "lightgbm",
     "Random Forest (global)": "random_forest", "Ridge Regression": "ridge",
     "kNN (k=15)": "knn", "Stacking Ensemble": "stacking",
+    "Seasonal naive": "seasonal_naive", "Moving average": "moving_average", "Drift": "drift",
 }
 
 
@@ -163,6 +173,14 @@ def run_ablations(data, sizes):
     return metrics.score_models(scored, {n: n for n in (*arms, "per city")})
 
 
+def stacking_value(scored):
+    """The best single model against the stack, as one more ablation of ``benchmark_metrics``."""
+    table = benchmark_metrics(scored)
+    stack = "Stacking Ensemble"
+    best = metrics.best_model(table.filter(F.col("model") != stack)).first()
+    return metrics.ablation_deltas(table, {"Stacking value": (best["model"], stack)})
+
+
 # Ablations as (base arm, variant arm).
 ABLATIONS = {
     "Recovery impact": ("observed target", "recovered target"),
