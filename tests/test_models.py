@@ -102,6 +102,32 @@ def test_knn_equals_brute_force(spark, blocks):
         assert rows[f"q{i:03d}"] == pytest.approx(brute_force(points, targets, ids, p, 15))
 
 
+def test_far_cells_are_not_visited(spark):
+    rng = np.random.default_rng(2)
+    middles = rng.normal(size=(8, 3)) * 100
+    points = np.vstack([m + rng.normal(size=(40, 3)) for m in middles])
+    queries = middles + 0.1
+    to_rows = lambda x, p: [(f"{p}{i:03d}", float(i), *map(float, v)) for i, v in enumerate(x)]
+    schema = "id string, y double, a double, b double, c double"
+    t, q = spark.createDataFrame(to_rows(points, "t"), schema), spark.createDataFrame(to_rows(queries, "q"), schema)
+    visited, search = [], neighbors._search_cells
+
+    def counted(asked, *args):
+        visited.append(asked.count())
+        return search(asked, *args)
+
+    neighbors._search_cells = counted
+    try:
+        got = neighbors.knn_forecast(t, q, ["a", "b", "c"], "y", "id", k=5, train_block=10).collect()
+    finally:
+        neighbors._search_cells = search
+    assert visited[0] == 8 and sum(visited[1:]) < 8 * 31 / 2    # 32 cells
+    for r in got:
+        far = np.sqrt(((points - [r["a"], r["b"], r["c"]]) ** 2).sum(axis=1))
+        near = np.argsort(far)[:5]
+        assert r["knn"] == pytest.approx((near / far[near]).sum() / (1 / far[near]).sum())
+
+
 def test_knn_with_fewer_points_than_neighbours(spark):
     t = spark.createDataFrame([("a", 1.0, 4.0), ("b", 3.0, 8.0)], "id string, x double, y double")
     q = spark.createDataFrame([("q", 2.0, 0.0)], "id string, x double, y double")

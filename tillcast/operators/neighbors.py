@@ -8,8 +8,10 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tillcast.constants import NEIGHBOURS
+from tillcast.session import materialize
 
 TRAIN_BLOCK, QUERY_BLOCK, TILE = 50_000, 20_000, 256
+MOST_CELLS = 4096
 
 
 def _distances(query, points):
@@ -48,42 +50,112 @@ def nearest_in_block(queries, q_ids, points, p_ids, targets, k):
     return out
 
 
-def knn_neighbors(train, queries, inputs, target, row_id, k=NEIGHBOURS,
-                  train_block=TRAIN_BLOCK, query_block=QUERY_BLOCK):
-    """(query, distance, neighbour, value) for the k nearest training rows of each query.
+def _vectors(column):
+    return np.vstack(column.to_numpy()) if len(column) else np.zeros((0, 0))
 
-    Both sides are cut by a hash of the row id into blocks of bounded size, whatever the
-    data's distribution. Each pair of blocks is one task that emits at most k rows per
-    query; a window with a rank limit, applied before and after the shuffle, merges them.
-    """
-    train = train.filter(F.col(target).isNotNull())
-    t_blocks = max(1, math.ceil(train.count() / train_block))
-    q_blocks = max(1, math.ceil(queries.count() / query_block))
-    vector = F.array(*[F.col(c).cast("double") for c in inputs])
 
-    def spread(df, own, n_own, other, n_other, *columns):
-        return df.select(
-            F.col(row_id).alias("id"), vector.alias("x"), *columns,
-            F.pmod(F.xxhash64(F.col(row_id)), F.lit(n_own)).alias(own),
-            F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_other - 1).cast("long"))).alias(other))
+def _to_centres(x, centres):
+    """Distances from rows to centres, and a bound on their rounding error."""
+    square = (x ** 2).sum(axis=1)[:, None] + (centres ** 2).sum(axis=1)[None, :] - 2.0 * x @ centres.T
+    slack = 1e-6 * (1.0 + np.sqrt((x ** 2).sum(axis=1).max(initial=0.0) + (centres ** 2).sum(axis=1).max(initial=0.0)))
+    return np.sqrt(np.maximum(square, 0.0)), slack
+
+
+def _with_home(df, centres, schema):
+    """Each row's nearest centre and its distance."""
+    def place(batches):
+        for frame in batches:
+            if len(frame):
+                far, _ = _to_centres(_vectors(frame["x"]), centres)
+                home = far.argmin(axis=1)
+                yield frame.assign(cell=home.astype(np.int32), far=far[np.arange(len(frame)), home])
+
+    return df.mapInPandas(place, f"{schema}, cell int, far double")
+
+
+def cells_to_visit(asked, centres, radii, reach):
+    """Cells that may hold a point within a query's reach, besides its home cell."""
+    def visits(batches):
+        for frame in batches:
+            if not len(frame):
+                continue
+            far, slack = _to_centres(_vectors(frame["x"]), centres)
+            near = far - radii[None, :] <= frame["reach"].to_numpy()[:, None] + slack
+            near[np.arange(len(frame)), frame["cell"].to_numpy()] = False
+            row, cell = near.nonzero()
+            yield pd.DataFrame({"id": frame["id"].to_numpy()[row], "x": frame["x"].to_numpy()[row], "cell": cell.astype(np.int32)})
+
+    asked = asked.join(reach, asked["id"] == reach["query"]).select("id", "x", "cell", "reach")
+    return asked.mapInPandas(visits, "id string, x array<double>, cell int")
+
 
-    points = spread(train, "tb", t_blocks, "qb", q_blocks, F.col(target).cast("double").alias("value"))
-    asked = spread(queries, "qb", q_blocks, "tb", t_blocks)
+def _search_cells(asked, points, sizes, k, train_block, query_block):
+    """The k nearest points of each (query, cell); cells and their queries are cut into blocks by hash."""
+    spark = asked.sparkSession
+    many = asked.groupBy("cell").agg(F.count("*").alias("n")).collect()
+    blocks = spark.createDataFrame(
+        [(r["cell"], max(1, math.ceil(sizes.get(r["cell"], 0) / train_block)), math.ceil(r["n"] / query_block)) for r in many],
+        "_cell int, _t int, _q int")
+
+    def spread(df, own, n_own, other, n_other, *columns):
+        return df.join(blocks, F.col("cell") == F.col("_cell")).select(
+            "cell", "id", "x", *columns, F.pmod(F.xxhash64("id"), F.col(n_own)).cast("int").alias(own),
+            F.explode(F.sequence(F.lit(0), F.col(n_other) - 1)).alias(other))
 
     def search(q: pd.DataFrame, t: pd.DataFrame) -> pd.DataFrame:
         if len(q) == 0 or len(t) == 0:
             return pd.DataFrame({"query": [], "distance": [], "neighbor": [], "value": []})
         found = nearest_in_block(
-            np.vstack(q["x"].to_numpy()), q["id"].to_numpy(),
-            np.vstack(t["x"].to_numpy()), t["id"].to_numpy(), t["value"].to_numpy(), k)
+            _vectors(q["x"]), q["id"].to_numpy(), _vectors(t["x"]), t["id"].to_numpy(), t["value"].to_numpy(), k)
         return pd.DataFrame(dict(zip(("query", "distance", "neighbor", "value"), found)))
 
-    pairs = asked.groupBy("qb", "tb").cogroup(points.groupBy("qb", "tb")).applyInPandas(
+    left = spread(asked, "qb", "_q", "tb", "_t")
+    right = spread(points, "tb", "_t", "qb", "_q", "value")
+    return left.groupBy("cell", "qb", "tb").cogroup(right.groupBy("cell", "qb", "tb")).applyInPandas(
         search, "query string, distance double, neighbor string, value double")
+
+
+def _nearest(pairs, k):
     rank = F.row_number().over(Window.partitionBy("query").orderBy("distance", "neighbor"))
     return pairs.withColumn("rank", rank).filter(F.col("rank") <= k)
 
 
+def knn_neighbors(train, queries, inputs, target, row_id, k=NEIGHBOURS,
+                  train_block=TRAIN_BLOCK, query_block=QUERY_BLOCK):
+    """(query, distance, neighbour, value) for the k nearest training rows of each query.
+
+    Training rows lie in cells around centres drawn from them, with the cell's radius. A
+    query searches its home cell first; its k-th distance there then rules out every cell
+    whose nearest possible point is farther (triangle inequality), so the result is exact.
+    Cells and their queries are cut by a hash of the row id into blocks of bounded size;
+    a pair of blocks emits at most k rows per query, and a window with a rank limit,
+    applied before and after the shuffle, merges them.
+    """
+    vector = F.array(*[F.col(c).cast("double") for c in inputs]).alias("x")
+    name = F.col(row_id).cast("string").alias("id")
+    points = train.filter(F.col(target).isNotNull()).select(name, vector, F.col(target).cast("double").alias("value"))
+    count = min(MOST_CELLS, max(1, math.ceil(points.count() / train_block)))
+    centres = [r["x"] for r in points.orderBy(F.xxhash64("id"), "id").limit(count).select("x").collect()]
+    if not centres:
+        return train.sparkSession.createDataFrame([], "query string, distance double, neighbor string, value double, rank int")
+    centres = np.array(centres)
+    points = materialize(_with_home(points, centres, "id string, x array<double>, value double"), "points")
+    asked = materialize(_with_home(queries.select(name, vector), centres, "id string, x array<double>"), "queries")
+    cells = {r["cell"]: r for r in points.groupBy("cell").agg(F.max("far").alias("radius"), F.count("*").alias("n")).collect()}
+    sizes = {c: r["n"] for c, r in cells.items()}
+    radii = np.array([cells[c]["radius"] if c in cells else -math.inf for c in range(len(centres))])
+    home = materialize(_nearest(_search_cells(asked, points, sizes, k, train_block, query_block), k), "home")
+    reach = asked.select(F.col("id").alias("_id")).join(
+        home.groupBy("query").agg(F.count("*").alias("_n"), F.max("distance").alias("_far")), F.col("_id") == F.col("query"), "left"
+    ).select(F.col("_id").alias("query"), F.when(F.col("_n") >= k, F.col("_far")).otherwise(math.inf).alias("reach"))
+    if len(centres) == 1:
+        return home
+    further = materialize(cells_to_visit(asked, centres, radii, reach), "visits")
+    if further.isEmpty():
+        return home
+    return _nearest(home.drop("rank").union(_search_cells(further, points, sizes, k, train_block, query_block)), k)
+
+
 def knn_predictions(neighbors):
     """Inverse-distance mean per query; exact hits alone count where there are any."""
     hit = F.col("distance") == 0
