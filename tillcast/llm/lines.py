@@ -33,11 +33,12 @@ def _solid(lines):
 
 
 def _windows(solid, size):
-    """(first, last, hashes) of each window, as places among the lines that are not blank."""
+    """(first, hashes, size) of each window, as places among the lines that are not blank."""
     def window(i):
-        part = F.slice(solid, i + 1, size)
-        fold = lambda side, seed: F.aggregate(part, F.lit(seed).cast("long"), lambda h, x: F.xxhash64(h, x[side]))
-        return F.struct(i.alias("first"), fold("a", 1).alias("a"), fold("b", 2).alias("b"), F.size(part).alias("size"))
+        lines = [F.get(solid, i + j) for j in range(size)]      # NULL beyond the last, which hashes skip
+        return F.struct(i.alias("first"), F.xxhash64(*[x["a"] for x in lines]).alias("a"),
+                        F.xxhash64(F.lit(7), *[x["b"] for x in lines]).alias("b"),
+                        F.least(F.size(solid), F.lit(size)).alias("size"))
 
     return F.when(F.size(solid) > 0, F.transform(
         F.sequence(F.lit(0), F.greatest(F.size(solid) - size, F.lit(0))), window))
@@ -62,22 +63,32 @@ def dedup_lines(documents: DataFrame, *, window: int = WINDOW, id_col="doc_id",
         .groupBy("_t_id", "_t_text", "at").agg(F.max("stays").alias("stays")).where("not stays") \
         .groupBy(F.col("_t_id").alias("_t_doc"), F.col("_t_text").alias("_t_same")).agg(
             F.sort_array(F.collect_list("at")).alias("_t_gone"))
+    # a hash join leaves the texts unsorted; what is covered is small beside them
     joined = documents.withColumn("_t_hash", F.xxhash64(text)).join(
-        covered, F.col(id_col).eqNullSafe(F.col("_t_doc")) & (F.col("_t_hash") == F.col("_t_same")), "left")
-    solid = F.filter(F.transform(cut, lambda x, i: F.struct(i.alias("at"), F.trim(x).alias("s"))), lambda x: x["s"] != "")
-    joined = joined.withColumn("_t_lines", cut).withColumn(
-        "_t_gone", F.when(F.col("_t_gone").isNotNull(), F.transform("_t_gone", lambda i: F.get(solid, i)["at"])))
-    # the kept lines are the runs between removed ones
-    gone = F.col("_t_gone")
-    runs = F.transform(F.sequence(F.lit(0), F.size(gone)), lambda j: F.struct(
-        F.when(j == 0, 0).otherwise(F.get(gone, j - 1) + 1).alias("lo"),
-        F.coalesce(F.get(gone, j), F.size("_t_lines")).alias("hi")))
-    kept = F.flatten(F.transform(runs, lambda r: F.slice("_t_lines", r["lo"] + 1, r["hi"] - r["lo"])))
+        covered.hint("shuffle_hash"), F.col(id_col).eqNullSafe(F.col("_t_doc")) & (F.col("_t_hash") == F.col("_t_same")), "left")
     kinds = dict(documents.dtypes)
-    columns = [F.when(gone.isNull(), text).otherwise(F.array_join(kept, "\n")).cast(kinds[c]).alias(c)
+    columns = [F.when(F.col("_t_gone").isNull(), text).otherwise(_without(text, F.col("_t_gone"))).cast(kinds[c]).alias(c)
                if c == text_col else F.col(f"`{c}`") for c in documents.columns]
-    lines = F.when(F.length(text) > 0, F.size("_t_lines")).otherwise(0).cast("long")
-    return joined.select(*columns, lines.alias(lines_col), F.greatest(F.size(gone), F.lit(0)).cast("long").alias(removed_col))
+    breaks = F.octet_length(text) - F.octet_length(F.replace(text, F.lit("\n"), F.lit("")))
+    lines = F.when(F.length(text) > 0, breaks + 1).otherwise(0).cast("long")
+    return joined.select(*columns, lines.alias(lines_col), F.when(F.col("_t_gone").isNull(), 0).otherwise(F.size("_t_gone")).cast("long").alias(removed_col))
+
+
+def _without(text, gone):
+    """The text without the given places (sorted) among its lines that are not blank."""
+    lines = F.split(text, "\n", -1)
+    solid = F.filter(F.transform(lines, lambda x, i: F.struct(i.alias("at"), F.trim(x).alias("s"))), lambda x: x["s"] != "")
+    # the kept lines are the runs between removed ones
+    cuts = F.transform(gone, lambda i: F.get(solid, i)["at"])
+    whole = F.struct(lines.alias("lines"), cuts.alias("cuts"))
+
+    def kept(w):
+        runs = F.transform(F.sequence(F.lit(0), F.size(w["cuts"])), lambda j: F.struct(
+            F.when(j == 0, 0).otherwise(F.get(w["cuts"], j - 1) + 1).alias("lo"),
+            F.coalesce(F.get(w["cuts"], j), F.size(w["lines"])).alias("hi")))
+        return F.array_join(F.flatten(F.transform(runs, lambda r: F.slice(w["lines"], r["lo"] + 1, r["hi"] - r["lo"]))), "\n")
+
+    return F.get(F.transform(F.array(whole), kept), F.lit(0))   # lines and cuts are worked out once
 
 
 SQL = """
