@@ -2,6 +2,7 @@
 
 import math
 
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tillcast.constants import FOURIER_HARMONICS, FOURIER_PERIODS
@@ -18,6 +19,11 @@ def calendar_columns(date):
     }
 
 
+def as_day(value):
+    """A day given as a value or as a column."""
+    return value if isinstance(value, Column) else F.lit(value).cast("date")
+
+
 def fourier_columns(day_number, periods=FOURIER_PERIODS, harmonics=FOURIER_HARMONICS):
     """Sine and cosine of each harmonic of each period, for a day count."""
     columns = {}

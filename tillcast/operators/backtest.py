@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from tillcast.constants import BACKTEST_HORIZON, BACKTEST_INPUT, BACKTEST_STEP, BACKTEST_WINDOWS, DATE
 from tillcast.functions.arrays import array_mean, array_median, last
+from tillcast.functions.calendar import as_day
 
 
 def forecaster_frame(df, target="sale_amount_pred", date=DATE):
@@ -21,7 +22,7 @@ def rolling_inputs(frame, horizon=BACKTEST_HORIZON, windows=BACKTEST_WINDOWS, st
     Map-side aggregation keeps at most ``input_size`` entries per series and cutoff, so
     neither the shuffle nor a series' state grows with the length of the panel.
     """
-    end = F.lit(end).cast("date") if end is not None else frame.select(F.max("ds")).scalar()
+    end = as_day(end) if end is not None else frame.select(F.max("ds")).scalar()
     dated = frame.withColumn("_end", end)
     entries = []
     for i in range(windows):

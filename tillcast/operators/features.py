@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tillcast.constants import (
     DATE, LAGS, RATIO_OFFSET, SCALE_MIN_ROWS, SCALE_WINDOW, SERIES_KEYS, WINDOWS,
 )
-from tillcast.functions.calendar import calendar_columns, fourier_columns
+from tillcast.functions.calendar import as_day, calendar_columns, fourier_columns
 from tillcast.functions.nulls import join_keys
 
 
@@ -109,7 +109,7 @@ def add_calendar(df, date=DATE):
 
 def add_fourier(df, anchor=None, date=DATE):
     """Seasonal terms of the days since ``anchor``, by default the first panel day."""
-    start = F.lit(anchor).cast("date") if anchor is not None else df.select(F.min(date)).scalar()
+    start = as_day(anchor) if anchor is not None else df.select(F.min(date)).scalar()
     numbered = df.withColumn("_t", F.datediff(F.col(date), start))
     return numbered.withColumns(fourier_columns(F.col("_t"))).drop("_t")
 

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from tillcast.constants import (
     DATE, MID_DAYS, MID_WEIGHT, OLD_WEIGHT, RECENT_DAYS, RECENT_WEIGHT, TEST_DAYS, VAL_DAYS,
 )
+from tillcast.functions.calendar import as_day
 
 
 def last_day(df, date=DATE):
@@ -13,8 +14,8 @@ def last_day(df, date=DATE):
 
 
 def with_age(df, max_date=None, date=DATE, name="_age"):
-    """Days between a row and the panel's last day (or ``max_date``)."""
-    end = F.lit(max_date).cast("date") if max_date is not None else last_day(df, date)
+    """Days between a row and the panel's last day, or ``max_date`` (a value or a column)."""
+    end = as_day(max_date) if max_date is not None else last_day(df, date)
     return df.withColumn(name, F.datediff(end, F.col(date)))
 
 

@@ -7,13 +7,18 @@ from tillcast.operators import encoding, features, quantiles, split
 from tillcast.plans.rounding import rounded
 from tillcast.session import materialize
 from tillcast.sources.panel import densify, series_density
-from tillcast.sources.tables import sales_panel
+from tillcast.sources.tables import sales_panel, sales_span
 
 KEYS = [*SERIES_KEYS, "dt"]
 FILLED = ["lag_1", "lag_7", "lag_28", "rolling_std_7", "series_scale"]
 PROFILED = ["sale_amount", "sale_amount_pred", "discount", "stockout_ratio"]
 
 
+def parted(spark, base, panel):
+    """The panel with its split; the last day comes from the order lines alone."""
+    return split.add_split(panel, max_date=sales_span(spark, base)[1])
+
+
 def looked_back(spark, base, names):
     panel = features.add_series_features(sales_panel(spark, base))
     return rounded(panel.select(*KEYS, *names))
@@ -57,22 +62,22 @@ def feat_calendar(spark, base):
 
 
 def feat_fourier(spark, base):
-    panel = features.add_fourier(sales_panel(spark, base))
+    panel = features.add_fourier(sales_panel(spark, base), sales_span(spark, base)[0])
     return rounded(panel.select(*KEYS, *[f for f in FEATURES if f.startswith(("sin_", "cos_"))]))
 
 
 def split_weights(spark, base):
-    panel = split.add_weights(split.add_split(sales_panel(spark, base)))
+    panel = split.add_weights(parted(spark, base, sales_panel(spark, base)), max_date=sales_span(spark, base)[1])
     return panel.select(*KEYS, "split", "days_ago", "sample_weight")
 
 
 def eval_target_mask(spark, base):
-    panel = split.add_eval_target(split.add_split(sales_panel(spark, base)))
+    panel = split.add_eval_target(parted(spark, base, sales_panel(spark, base)))
     return panel.select(*KEYS, "split", "eval_target")
 
 
 def split_panel(spark, base):
-    return split.add_split(features.add_calendar(sales_panel(spark, base)))
+    return parted(spark, base, features.add_calendar(sales_panel(spark, base)))
 
 
 def target_encoding(spark, base):
@@ -92,7 +97,7 @@ def column_profile(spark, base):
 
 def filled_from(spark, base):
     """Written once, since the medians need several passes."""
-    panel = split.add_split(features.add_series_features(sales_panel(spark, base)))
+    panel = parted(spark, base, features.add_series_features(sales_panel(spark, base)))
     return materialize(panel.select(*KEYS, "split", *FILLED), "looked")
 
 
@@ -108,7 +113,7 @@ def median_fill(spark, base):
 
 
 def standardize(spark, base):
-    panel = split.add_split(sales_panel(spark, base))
+    panel = parted(spark, base, sales_panel(spark, base))
     columns = ["sale_amount", "discount", "avg_temperature", "stockout_ratio"]
     scaler = encoding.Standardizer.fit(split.part(panel, "train"), columns)
     return rounded(scaler.transform(panel, "_z").select(*KEYS, *[f"{c}_z" for c in columns]))
@@ -116,8 +121,11 @@ def standardize(spark, base):
 
 def feature_table(spark, base):
     """All registry features of every row, encoded on the training rows."""
-    panel = split.add_split(features.build_features(sales_panel(spark, base)))
-    encoder = encoding.TargetEncoder.fit(split.part(split_panel(spark, base), "train"))
+    rows = materialize(sales_panel(spark, base), "panel")
+    first, last = rows.agg(F.min("dt"), F.max("dt")).first()
+    train = split.part(split.add_split(features.add_calendar(rows), max_date=last), "train")
+    encoder = encoding.TargetEncoder.fit(train)
+    panel = split.add_split(features.build_features(rows, anchor=first), max_date=last)
     return rounded(encoder.transform(panel).select(*KEYS, "split", *FEATURES))
 
 
@@ -126,13 +134,13 @@ def min_group_guard(spark, base):
     from tillcast.constants import GROUP_MIN_ROWS, GROUP_MIN_TARGETS
     from tillcast.operators.per_group import groups_to_fit
 
-    train = split.part(split.add_split(sales_panel(spark, base)), "train")
+    train = split.part(parted(spark, base, sales_panel(spark, base)), "train")
     return groups_to_fit(train, "city_id", "sale_amount_pred", GROUP_MIN_ROWS, GROUP_MIN_TARGETS)
 
 
 def valid_rows(spark, base):
     """Rows left per split when every look-back column must have a value."""
-    panel = split.add_split(features.add_series_features(sales_panel(spark, base)))
+    panel = parted(spark, base, features.add_series_features(sales_panel(spark, base)))
     kept = split.valid_rows(panel, ["sale_amount_pred", *FILLED])
     return kept.groupBy("split").agg(F.count("*").alias("n"), F.min("dt").alias("first_day"))
 

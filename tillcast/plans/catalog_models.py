@@ -16,7 +16,7 @@ from tillcast.session import materialize, shared_path
 from tillcast.sources import sinks
 from tillcast.sources.models import inventory, load_models, save_models
 from tillcast.sources.panel import union_all, with_series_columns
-from tillcast.sources.tables import hourly_panel, sales_panel
+from tillcast.sources.tables import hourly_panel, sales_panel, sales_span
 
 KEYS = [*SERIES_KEYS, "dt"]
 SIMPLE = {"last week": "lag_7", "mean of 28": "rolling_mean_28", "series mean": "series_scale"}
@@ -28,7 +28,9 @@ SMALL = training.Sizes().scaled(trees=20, depth=6)
 
 
 def looked_panel(spark, base):
-    return split.add_weights(split.add_split(features.add_series_features(sales_panel(spark, base))))
+    last = sales_span(spark, base)[1]
+    looked = features.add_series_features(sales_panel(spark, base))
+    return split.add_weights(split.add_split(looked, max_date=last), max_date=last)
 
 
 def test_rows(spark, base):
@@ -204,7 +206,7 @@ def recovered_forecast(spark, base):
 
 
 def forecasts(spark, base, method):
-    inputs = backtest.rolling_inputs(backtest.forecaster_frame(sales_panel(spark, base)))
+    inputs = backtest.rolling_inputs(backtest.forecaster_frame(sales_panel(spark, base)), end=sales_span(spark, base)[1])
     return backtest.forecast(inputs, {"y_hat": backtest.FORECASTERS[method]})
 
 
@@ -222,7 +224,7 @@ def backtest_drift(spark, base):
 
 def backtest_aligned(spark, base):
     """Rows and matched forecasts of the held-out weeks."""
-    panel = split.add_split(sales_panel(spark, base))
+    panel = split.add_split(sales_panel(spark, base), max_date=sales_span(spark, base)[1])
     joined = backtest.align(
         panel.filter(F.col("split") != "train"), forecasts(spark, base, "moving_average"), ["y_hat"])
     return rounded(joined.groupBy("split").agg(

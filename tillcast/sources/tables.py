@@ -54,6 +54,13 @@ def sales_panel(spark, base):
     return with_series_columns(panel)
 
 
+def sales_span(spark, base):
+    """First and last day of the order lines, as subqueries over one column without a join."""
+    days = read_table(spark, base, "lineitem").select(
+        F.to_date(F.min("l_shipdate")).alias("first"), F.to_date(F.max("l_shipdate")).alias("last"))
+    return days.select("first").scalar(), days.select("last").scalar()
+
+
 def hourly_panel(spark, base, users_per_store=30):
     """Hourly sales vectors of each user group (store) and event type (product).
 
