@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillcast.llm import text
+from tillcast.session import materialize
 
 ORDERS = (1, 2, 3)
 BUCKETS = 1 << 15
@@ -98,8 +99,8 @@ def train(documents: DataFrame, *, text_col="text", lang_col="lang", buckets=BUC
     """Languages in order and their log-probabilities (languages x buckets), from all rows."""
     rows = documents.select(F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang")) \
         .where("lang is not null and text is not null")
-    table = rows.mapInArrow(_counts(buckets), "lang string, bucket int, n long").groupBy("lang", "bucket").agg(
-        F.sum("n").alias("n"))
+    table = materialize(rows.mapInArrow(_counts(buckets), "lang string, bucket int, n long").groupBy("lang", "bucket").agg(
+        F.sum("n").alias("n")), "counts")
     langs = [r.lang for r in table.select("lang").distinct().limit(MATRIX_BYTES // (4 * buckets) + 1).collect()]
     if len(langs) * buckets * 4 > MATRIX_BYTES:
         raise ValueError(f"too many languages for a matrix of {MATRIX_BYTES} bytes; use fewer buckets")
