@@ -65,9 +65,10 @@ def test_lines_keep_other_columns_and_rows(spark, odd, none):
     assert lines.dedup_lines(none).collect() == []
 
 
-def test_lines_query_matches_sql(spark):
+@pytest.mark.parametrize("name", sorted(queries.SQL))
+def test_query_matches_sql(spark, name):
     base = "/root/testdata/sf0.001"
-    rows, problems = compare(spark, connect(base), base, queries.op8_line_windows, queries.SQL["op8_line_windows"])
+    rows, problems = compare(spark, connect(base), base, queries.QUERIES[name], queries.SQL[name])
     assert rows and not problems, problems
 
 

@@ -180,3 +180,25 @@ def near_duplicates(documents: DataFrame, *, words: int = WORDS, similarity=SIMI
     comp = F.coalesce("comp", "doc_id")
     return out.select("doc_id", F.col("n").alias("n_shingles"), comp.alias("component_id"),
                       F.coalesce(comp == F.col("doc_id"), F.lit(False)).alias("kept"))
+
+
+#: For shingles of two words and a similarity of 0.8.
+SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) = 1 THEN [[w[1]]]
+    ELSE list_distinct(list_transform(range(1, len(w)), lambda i: [w[i], w[i + 1]])) END AS s FROM words),
+items AS (SELECT doc_id, len(s) AS n, unnest(s) AS item FROM sets),
+links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM items a JOIN items b
+    ON a.item = b.item AND a.doc_id <> b.doc_id AND 5 * a.n >= 4 * b.n AND 5 * b.n >= 4 * a.n
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+reach AS (
+  SELECT doc_id, doc_id AS other FROM documents
+  UNION SELECT r.doc_id, l.b FROM reach r JOIN links l ON r.other = l.a),
+comp AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
+SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, c.component_id, c.component_id = s.doc_id AS kept
+FROM sets s JOIN comp c ON s.doc_id = c.doc_id
+"""

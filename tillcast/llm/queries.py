@@ -60,4 +60,4 @@ QUERIES = {f.__name__: f for f in (
     op1_itq_embeddings, op2_circulant_minhash, op3_naive_bayes_language, op4_backoff_automaton, op5_mixture_packing,
     op6_toxicity_grammar, op7_quality_trees, op8_line_windows, op9_simhash_decontamination, op10_label_propagation_shards,
 )}
-SQL = {"op8_line_windows": lines.SQL}
+SQL = {"op1_itq_embeddings": embeddings.SQL, "op2_circulant_minhash": minhash.SQL, "op8_line_windows": lines.SQL}
