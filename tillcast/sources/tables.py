@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from tillcast.constants import CLOSE_HOUR, HOURS_PER_DAY, OPEN_HOUR
+from tillcast.session import materialize
 from tillcast.sources.panel import with_series_columns
 
 
@@ -65,20 +66,25 @@ def hourly_panel(spark, base, users_per_store=30):
     """Hourly sales vectors of each user group (store) and event type (product).
 
     An hour is a stockout when most of the store's events in it are errors.
-    ``truth_hours`` keeps the sales before censoring, to score imputers.
+    ``truth_hours`` keeps the sales before censoring, to score imputers. The events are
+    read once, into a written table of hour arrays per store, type and day, from which
+    status, sales and the days all follow.
     """
     events = read_table(spark, base, "events").select(
         F.floor(F.col("user_id") / users_per_store).alias("store_id"),
         F.col("event_type"), F.to_date("ts").alias("dt"), F.hour("ts").alias("h"), "value")
     hours = range(HOURS_PER_DAY)
     is_error = F.col("event_type") == "error"
-    status = events.groupBy("store_id", "dt").agg(F.array(*[
-        (2 * F.count_if(is_error & (F.col("h") == h)) > F.count_if(F.col("h") == h)).cast("int")
-        for h in hours]).alias("hours_stock_status"))
-    sales = events.filter(~is_error).groupBy("store_id", F.col("event_type").alias("product_id"), "dt").agg(
+    cells = materialize(events.groupBy("store_id", "event_type", "dt").agg(
+        F.array(*[F.count_if(F.col("h") == h) for h in hours]).alias("n_events"),
         F.array(*[F.round(F.coalesce(F.sum(F.when(F.col("h") == h, F.col("value"))), F.lit(0.0)), 2)
-                  for h in hours]).alias("truth_hours"))
-    days = F.sequence(events.select(F.min("dt")).scalar(), events.select(F.max("dt")).scalar(),
+                  for h in hours]).alias("truth_hours")), "hours")
+    number = lambda h: F.get("n_events", F.lit(h))
+    status = cells.groupBy("store_id", "dt").agg(F.array(*[
+        (2 * F.sum(F.when(is_error, number(h)).otherwise(0)) > F.sum(number(h))).cast("int")
+        for h in hours]).alias("hours_stock_status"))
+    sales = cells.filter(~is_error).select("store_id", F.col("event_type").alias("product_id"), "dt", "truth_hours")
+    days = F.sequence(cells.select(F.min("dt")).scalar(), cells.select(F.max("dt")).scalar(),
                       F.expr("interval 1 day"))
     grid = sales.select("store_id", "product_id").distinct().withColumn("dt", F.explode(days))
     no_sales = F.array_repeat(F.lit(0.0), HOURS_PER_DAY)
