@@ -40,7 +40,7 @@ def test_link_misses_no_pair_that_shares_a_key(spark):
     def near(x, y):
         return F.abs(x("v") - y("v")) <= 10
 
-    def verify(pairs):
+    def verify(pairs, loads):
         found = pairs.collect()
         return spark.createDataFrame([(r.a, r.b) for r in found if abs(place[r.a] - place[r.b]) <= 2], "a long, b long")
 
@@ -59,11 +59,11 @@ def test_a_group_of_copies_is_not_listed_pair_by_pair(spark):
     rows = spark.range(400).select(F.lit(1).cast("long").alias("key"), "id")
     sizes = []
 
-    def verify(pairs):
+    def verify(pairs, loads):
         sizes.append(pairs.count())
         return pairs
 
-    found = linking.link(rows, lambda x, y: F.lit(True), verify, None, None).collect()
+    found = linking.link(rows, lambda x, y: F.lit(True), verify, lambda ids: ids, None).collect()
     assert {r.comp for r in found} == {0} and len(found) == 400
     assert sum(sizes) < 400
 

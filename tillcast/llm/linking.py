@@ -62,15 +62,19 @@ def link(keys: DataFrame, near, verify, load, kernel, tile: int = TILE) -> DataF
     """Components of the rows of ``keys`` (key, id and columns for ``near`` and ``kernel``).
 
     ``near(x, y)`` is a cheap condition that no link fails, on functions from column names
-    to columns; ``verify(pairs)`` returns the pairs (a, b) that are links; ``load(ids)``
-    gives what links are tested on, as (id, load); ``kernel(left, right)`` takes two pandas
-    frames of rows with their load and returns the matrix of links between them. A row
+    to columns; ``load(ids)`` gives what links are tested on, as a written table (id, load),
+    and is asked once; ``verify(pairs, loads)`` returns the pairs (a, b) that are links;
+    ``kernel(left, right)`` takes two pandas frames of rows with their load and returns the
+    matrix of links between them. Joins with loads are merge joins at every size. A row
     that shares no key with another may be missing from the result (id, comp): it is its
     own component.
     """
     extra = [c for c in keys.columns if c not in ("key", "id")]
     many = keys.groupBy("key").agg(F.count("*").alias("_n")).where("_n > 1").select(F.col("key").alias("_key"))
     keys = materialize(keys.join(many, F.col("key") == F.col("_key")).drop("_key"), "keys")
+    if keys.isEmpty():
+        return keys.select("id", F.col("id").alias("comp"))
+    loads = load(keys.select("id").distinct()).hint("merge")
     edges = comps = None
     for turn in range(PIVOT_ROUNDS):
         members = keys if comps is None else _undecided(keys, comps)
@@ -84,17 +88,17 @@ def link(keys: DataFrame, near, verify, load, kernel, tile: int = TILE) -> DataF
             pairs = pairs.where(F.col("comp") != F.col("_p.p.comp"))
         pairs = pairs.where(near(lambda c: F.col(c), lambda c: F.col(f"_p.p.{c}"))).select(
             F.least("id", "_p.p.id").alias("a"), F.greatest("id", "_p.p.id").alias("b"))
-        found = verify(materialize(pairs.distinct(), "pairs"))
+        found = verify(materialize(pairs.distinct(), "pairs"), loads)
         edges = found if edges is None else edges.union(found)
         edges = materialize(edges, "links")
         comps = components(edges)
     members = _undecided(keys, comps)
     if members.isEmpty():
         return comps
-    return components(edges.union(_rest(materialize(members, "members"), extra, load, kernel, tile)))
+    return components(edges.union(_rest(materialize(members, "members"), extra, loads, kernel, tile)))
 
 
-def _rest(members, extra, load, kernel, tile):
+def _rest(members, extra, loads, kernel, tile):
     """Links between components that share a key, by tiles.
 
     The rows outside a key's largest component are gathered by that component. Every pair
@@ -123,8 +127,7 @@ def _rest(members, extra, load, kernel, tile):
         i.alias("i"), place(F.col("_j")).alias("j"), F.lit(False).alias("left")))
     dealt = rows.withColumn("t", F.explode(F.concat(F.coalesce(left, F.filter(right, lambda x: F.lit(False))), right))).select(
         F.xxhash64("home", "t.i", "t.j").alias("tile"), "t.left", "id", "comp", *extra)
-    loads = load(rows.select("id").distinct()).select(F.col("id").alias("_id"), "load")
-    dealt = dealt.join(loads, F.col("id") == F.col("_id")).drop("_id")
+    dealt = dealt.join(loads.select(F.col("id").alias("_id"), "load").hint("merge"), F.col("id") == F.col("_id")).drop("_id")
     dealt = dealt.repartition("tile").sortWithinPartitions("tile")
 
     def test(batches):

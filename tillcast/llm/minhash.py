@@ -156,13 +156,13 @@ def near_duplicates(documents: DataFrame, *, words: int = WORDS, similarity=SIMI
         return (x("n") * below >= y("n") * above) & (y("n") * below >= x("n") * above)
 
     def load(ids):
-        chosen = docs.join(ids.select(F.col("id").alias("_id")), F.col("doc_id") == F.col("_id"), "left_semi")
+        # the one place where texts are shuffled
+        chosen = docs.join(ids.select(F.col("id").alias("_id")).hint("merge"), F.col("doc_id") == F.col("_id"), "left_semi")
         return materialize(chosen.mapInArrow(_sets(words), "id long, d1 long, items array<long>")
                            .dropDuplicates(["id", "d1"]).select("id", F.col("items").alias("load")), "items")
 
-    def verify(pairs):
-        items = load(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct())
-        side = lambda s: items.select(F.col("id").alias(s), F.col("load").alias(f"i{s}"))
+    def verify(pairs, items):
+        side = lambda s: items.select(F.col("id").alias(s), F.col("load").alias(f"i{s}")).hint("merge")
         both = pairs.join(side("b"), "b").join(side("a"), "a")
         common = F.size(F.array_intersect("ia", "ib"))
         return both.where(below * common >= above * (F.size("ia") + F.size("ib") - common)).select("a", "b").distinct()
