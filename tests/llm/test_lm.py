@@ -66,6 +66,22 @@ def test_scores_match_a_model_of_dictionaries(spark, word_share, gram_share):
         assert r.score == pytest.approx(model.score(unseen[r.doc_id])), unseen[r.doc_id]
 
 
+def test_rare_ngrams_of_a_large_corpus_are_arcs(spark):
+    """Of 60,000 tokens, n-grams that occur once or twice count, also where a word of theirs is rare."""
+    rng = np.random.default_rng(7)
+    texts = [" ".join(rng.choice([f"w{i}" for i in range(400)], 99)) for _ in range(600)]
+    train = [*texts, "rare pair stands here", "w1 rare pair w2", "w3 w4 w3 w4 w3"]
+    unseen = ["rare pair stands here", "w1 rare pair w2 rare", "never w3 w4 w3", "", *texts[:5], *_docs(3, 20)]
+    model = _Backoff(train, lm.ORDER, 1e-9)
+    trained = lm.train(spark.createDataFrame(list(enumerate(train)), "doc_id long, text string"))
+    rows = lm.score(spark.createDataFrame(list(enumerate(unseen)), "doc_id long, text string"), trained).collect()
+    assert len(rows) == len(unseen) and model.N > 60_000
+    for r in rows:
+        assert r.score == pytest.approx(model.score(unseen[r.doc_id])), unseen[r.doc_id]
+    for n, arcs in trained.arcs.items():
+        assert arcs.count() == len(model.count[n])
+
+
 def test_probabilities_of_each_state_sum_to_one(spark):
     texts = _docs(1)
     model, table, n = lm.train(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), gram_share=0.002)

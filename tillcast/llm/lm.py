@@ -1,27 +1,34 @@
 """Language-model scores from a weighted backoff automaton.
 
-Counts cover every training token. An n-gram becomes a state of the automaton when it
-makes up at least ``GRAM_SHARE`` of all training tokens, so there are at most
-1 / GRAM_SHARE of them per order at any size of the corpus; as every part of such an
-n-gram is at least as frequent, each order is counted only where the order below was kept,
-without loss. Arcs carry absolutely discounted probabilities; where a state has no arc for
-a word, its failure arc goes to the state without the oldest word and carries the weight
-that makes the probabilities of each state sum to one. At the root every word has the
-smoothed frequency (c + 0.5) / (N + 0.5 (V + 1)).
-
-Texts are scored in one traversal from left to right that carries the state and adds up
-log-probabilities, for many stretches of text at a time: a stretch first reads the last
-words before it, which fix the state it starts in.
+Counts cover every training token, and every n-gram of the training texts is an arc of the
+automaton, however rare it is and however many there are. Arcs carry absolutely discounted
+probabilities; where a state has no arc for a word, its failure arc goes to the state
+without the oldest word and carries the weight that makes the probabilities of each state
+sum to one. At the root every word has the smoothed frequency
+(c + 0.5) / (N + 0.5 (V + 1)).
+
+The automaton grows with the corpus, so it is held in written tables: per order the arcs
+(key of the n-gram, probability) and the backoff weights (key of the context, weight). The
+n-grams of the texts to score are looked up by joins: each distinct one once, those
+without an arc along their failure arcs, and the rows of each text last. All other joins
+are between a table and unique keys, so frequent contexts are split by adaptive execution.
+
+With ``gram_share`` the automaton is bounded instead: an n-gram is a state only if it
+makes up that share of all training tokens. Each order is then counted only where the
+order below was kept, without loss, and the automaton is broadcast. Texts are scored in
+one traversal from left to right that carries the state and adds up log-probabilities, for
+many stretches of text at a time: a stretch first reads the last words before it, which
+fix the state it starts in.
 
 Words of at least ``WORD_SHARE`` of all tokens (at most 1 / WORD_SHARE of them) are
-broadcast with the automaton. All rarer words are looked up by a join with the table of
-all counts, where no key can be frequent; they lead to the root, so their part of the
-score does not depend on the state.
+broadcast. All rarer words are looked up by a join with the table of all counts, where no
+key can be frequent.
 
 Undefined and edge cases: a null text is empty, which is its end alone. Without training
 rows N and V are 0 and every token has probability one. Rows are scored one by one,
 whatever their id; a null id counts as training, not as held out. Other columns are not
-read. An empty table gives an empty result. Words are told apart by a 64-bit hash.
+read. An empty table gives an empty result. Words and n-grams are told apart by 64-bit
+hashes.
 """
 
 from dataclasses import dataclass, field
@@ -36,10 +43,11 @@ from tillcast.session import materialize
 
 ORDER = 3
 WORD_SHARE = 1e-6
-GRAM_SHARE = 3e-5
 DISCOUNT = 0.5
 STRETCH = 256           # tokens that one lane of the traversal scores
 END = np.uint64(0xE0D0E0D0E0D0E0D1)
+_CHAIN = np.uint64(0xD6E8FEB86659FD93)
+_ABSENT = np.uint64(0xA0761D6478BD642F)
 
 
 @dataclass
@@ -85,6 +93,57 @@ def sequences(column):
     return out, begin
 
 
+class Trained(tuple):
+    """(automaton, table of word counts, N); ``arcs`` and ``states`` hold the tables of orders from 2."""
+
+    arcs = states = None
+
+
+def _keys(tokens, begin, order):
+    """Per order the keys of the n-gram that ends at each token and of the one before it, and the token's place.
+
+    Where a text has too few words before a token, the key is made up and equals that of no n-gram.
+    """
+    place = np.arange(len(tokens)) - np.repeat(begin[:-1], np.diff(begin))
+    grams, before = [tokens], []
+    for n in range(2, order + 1):
+        last = np.zeros_like(tokens)
+        last[1:] = grams[-1][:-1]
+        missing = text.mix(grams[-1] ^ _ABSENT)
+        grams.append(np.where(place >= n - 1, text.mix(last * _CHAIN + tokens + np.uint64(n)), missing))
+        before.append(np.where(place >= 1, last, missing))
+    return grams, before, place
+
+
+def _long(keys):
+    return pa.array(keys.view(np.int64))
+
+
+def _arc_counts(n):
+    def counts(batches):
+        for batch in arrow.slices(batches, "text"):
+            grams, before, place = _keys(*sequences(batch.column("text")), n)
+            at = np.flatnonzero(place >= n - 1)
+            found, first, many = np.unique(grams[-1][at], return_index=True, return_counts=True)
+            at = at[first]
+            yield pa.record_batch({"gram": _long(found), "context": _long(before[-1][at]), "suffix": _long(grams[-2][at]),
+                                   "n": pa.array(many.astype(np.int64))})
+
+    return counts
+
+
+def _asked(order):
+    """Each distinct n-gram of a slice once, with the keys of its shorter suffixes (s) and contexts (c)."""
+    def asked(batches):
+        for batch in arrow.slices(batches, "text"):
+            grams, before, _ = _keys(*sequences(batch.column("text")), order)
+            found, at = np.unique(grams[-1], return_index=True)
+            yield pa.record_batch({"gram": _long(found)} | {f"s{n}": _long(grams[n - 1][at]) for n in range(1, order)}
+                                  | {f"c{n}": _long(before[n - 1][at]) for n in range(1, order)})
+
+    return asked
+
+
 def _levels(model, ids, begin, upto):
     """Index of the n-gram that ends at each token, for orders 1 to ``upto``, or -1."""
     state = np.where((ids >= 0) & model.is_state[ids], ids, -1) if len(model.words) else ids
@@ -155,8 +214,11 @@ def build(model, counts, gram_counts, discount=DISCOUNT):
     return model
 
 
-def train(documents: DataFrame, *, text_col="text", order=ORDER, word_share=WORD_SHARE, gram_share=GRAM_SHARE):
-    """The automaton, the table of all counts (word, n), and N, from all rows."""
+def train(documents: DataFrame, *, text_col="text", order=ORDER, word_share=WORD_SHARE, gram_share=None):
+    """The automaton, the table of all counts (word, n), and N, from all rows.
+
+    The arcs are written tables; with ``gram_share`` they are part of the automaton, see the module.
+    """
     spark = documents.sparkSession
     texts = documents.select(F.col(text_col).cast("string").alias("text"))
     table = materialize(
@@ -170,16 +232,75 @@ def train(documents: DataFrame, *, text_col="text", order=ORDER, word_share=WORD
     counts = frequent["n"].to_numpy(dtype=np.int64)[rank]
     below = tokens + 0.5 * (distinct + 1)
     model = Automaton(hashes[rank], np.log10((counts + 0.5) / below), below, order)
-    model.is_state = counts >= max(gram_share * tokens, 1)
+    if gram_share is None and order > 1:
+        trained = Trained((model, table, tokens))
+        trained.arcs, trained.states = _arcs(texts, table, below, order)
+        return trained
+    least = max((gram_share or 0) * tokens, 1)
+    model.is_state = counts >= least
     grams = []
     for n in range(2, order + 1):
         shared = spark.sparkContext.broadcast(model)
         kept = texts.mapInArrow(_gram_counts(shared, n), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")) \
-            .where(F.col("n") >= max(gram_share * tokens, 1)).toPandas().sort_values("gram")
+            .where(F.col("n") >= least).toPandas().sort_values("gram")
         shared.unpersist()
         model.levels.append(kept["gram"].to_numpy(dtype=np.int64))
         grams.append(kept["n"].to_numpy(dtype=np.int64))
-    return build(model, counts, grams), table, tokens
+    return Trained((build(model, counts, grams), table, tokens))
+
+
+def _arcs(texts, table, below, order, discount=DISCOUNT):
+    """Per order from 2: arcs (gram, p) and backoff weights of their contexts (context, backoff), as written tables."""
+    arcs, states = {}, {}
+    lower = table.select(F.col("word").alias("_gram"), ((F.col("n") + 0.5) / F.lit(below)).alias("_p"))
+    for n in range(2, order + 1):
+        seen = materialize(
+            texts.mapInArrow(_arc_counts(n), "gram long, context long, suffix long, n long").groupBy("gram").agg(
+                F.first("context").alias("context"), F.first("suffix").alias("suffix"), F.sum("n").alias("n")), "grams")
+        # each token but a text's last has one after it, so a context occurs as often as all its arcs
+        rest = seen.select("context", "suffix", "n").join(lower, F.col("suffix") == F.col("_gram"))
+        own = rest.groupBy("context").agg(F.sum("n").alias("times"), F.count("*").alias("many"), F.sum("_p").alias("rest"))
+        left = F.lit(discount) * F.col("many") / F.col("times")
+        state = materialize(own.select("context", "times", F.log10(
+            F.greatest(left, F.lit(1e-12)) / F.greatest(1 - F.col("rest"), F.lit(1e-12))).alias("backoff")), "states")
+        times = state.select(F.col("context").alias("_context"), "times")
+        arcs[n] = materialize(seen.select("gram", "context", "n").join(times, F.col("context") == F.col("_context")).select(
+            "gram", ((F.col("n") - discount) / F.col("times")).alias("p")), "arcs")
+        states[n] = state.select("context", "backoff")
+        lower = arcs[n].select(F.col("gram").alias("_gram"), F.col("p").alias("_p"))
+    return arcs, states
+
+
+def _looked_up(texts, trained):
+    """(gram, log): the log10 probability of the last word of each distinct n-gram of the texts."""
+    model, table, _ = trained
+    order = model.order
+    shorter = [f"{k}{n}" for k in "sc" for n in range(1, order)]
+    asked = texts.mapInArrow(_asked(order), ", ".join(f"{c} long" for c in ["gram", *shorter])).groupBy("gram").agg(
+        *[F.first(c).alias(c) for c in shorter])
+
+    def joined(rows, key, found, name, value):
+        found = found.select(F.col(name).alias("_key"), F.col(value).alias(f"_{value}"))
+        return rows.join(found, F.col(key) == F.col("_key"), "left").drop("_key")
+
+    miss = F.col("_p").isNull()
+    full = materialize(joined(asked, "gram", trained.arcs[order], "gram", "p").select(
+        "gram", "_p", *[F.when(miss, F.col(c)).alias(c) for c in shorter]), "asked")
+    # failure arcs: what has no arc pays the backoff weight of its context and drops the oldest word
+    rows = full.where(miss).drop("_p").withColumn("log", F.lit(0.0)).withColumn("open", F.lit(True))
+    for n in range(order, 1, -1):
+        rows = joined(rows, f"c{n - 1}", trained.states[n], "context", "backoff").withColumn(
+            "log", F.col("log") + F.when(F.col("open"), F.coalesce("_backoff", F.lit(0.0))).otherwise(0.0))
+        if n > 2:
+            hit = F.col("open") & F.col("_p").isNotNull()
+            rows = joined(rows, f"s{n - 1}", trained.arcs[n - 1], "gram", "p").withColumn(
+                "log", F.col("log") + F.when(hit, F.log10("_p")).otherwise(0.0)).withColumn(
+                "open", F.col("open") & F.col("_p").isNull()).drop("_p")
+        rows = rows.drop("_backoff")
+    root = F.log10((F.coalesce("_n", F.lit(0)) + 0.5) / F.lit(model.denominator))
+    rows = joined(rows, "s1", table, "word", "n").select(
+        "gram", (F.col("log") + F.when(F.col("open"), root).otherwise(0.0)).alias("log"))
+    return full.where(~miss).select("gram", F.log10("_p").alias("log")).unionAll(rows)
 
 
 def traverse(model, ids, begin, stretch=STRETCH):
@@ -229,10 +350,10 @@ def traverse(model, ids, begin, stretch=STRETCH):
 
 SCORED = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()),
                     ("known", pa.int64()), ("base", pa.float64()), ("walk", pa.float64()),
-                    ("rare", pa.list_(pa.int64())), ("times", pa.list_(pa.int64()))])
+                    ("rare", pa.list_(pa.int64())), ("times", pa.list_(pa.int64())), ("grams", pa.list_(pa.int64()))])
 
 
-def _score(shared):
+def _score(shared, joins):
     def score(batches):
         model = shared.value
         for batch in arrow.slices(batches, "text"):
@@ -249,12 +370,16 @@ def _score(shared):
             first = np.flatnonzero(new)
             times = np.diff(np.concatenate([first, [len(rank)]]))
             runs = pa.array(np.searchsorted(own[first], np.arange(n + 1)).astype(np.int32))
+            walk = np.zeros(n) if joins else traverse(model, ids, begin)
+            grams = _keys(tokens, begin, model.order)[0][-1] if joins else tokens[:0]
+            ends = pa.array((begin if joins else np.zeros(n + 1)).astype(np.int32))
             yield pa.record_batch([
                 batch.column("row"), batch.column("doc_id"), batch.column("held_out"), pa.array(np.diff(begin)),
                 pa.array(np.bincount(owner[ids >= 0], minlength=n).astype(np.int64)),
-                pa.array(np.bincount(owner, base, minlength=n)), pa.array(traverse(model, ids, begin)),
+                pa.array(np.bincount(owner, base, minlength=n)), pa.array(walk),
                 pa.ListArray.from_arrays(runs, pa.array(word[first].view(np.int64))),
                 pa.ListArray.from_arrays(runs, pa.array(times.astype(np.int64))),
+                pa.ListArray.from_arrays(ends, _long(grams)),
             ], schema=SCORED)
 
     return score
@@ -263,13 +388,14 @@ def _score(shared):
 def score(documents: DataFrame, trained, *, held_out=None, id_col="doc_id", text_col="text") -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row."""
     model, table, train_tokens = trained
+    joins = getattr(trained, "arcs", None) is not None
     shared = documents.sparkSession.sparkContext.broadcast(model)
     rows = documents.select(
         F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("doc_id"),
         (F.lit(False) if held_out is None else held_out).alias("held_out"), F.col(text_col).cast("string").alias("text"))
     walked = materialize(rows.mapInArrow(
-        _score(shared), "row long, doc_id long, held_out boolean, n_tokens long, known long, base double, walk double, "
-        "rare array<long>, times array<long>"), "walked")
+        _score(shared, joins), "row long, doc_id long, held_out boolean, n_tokens long, known long, base double, walk double, "
+        "rare array<long>, times array<long>, grams array<long>"), "walked")
     tail = walked.select(F.col("row").alias("_row"), F.explode(F.arrays_zip("rare", "times")).alias("w")) \
         .select("_row", F.col("w.rare").alias("word"), F.col("w.times").alias("times"))
     tail = tail.join(table.select(F.col("word").alias("_word"), "n"), F.col("word") == F.col("_word"), "left")
@@ -277,7 +403,14 @@ def score(documents: DataFrame, trained, *, held_out=None, id_col="doc_id", text
         F.sum(F.when(F.col("n").isNotNull(), F.col("times"))).alias("_known"),
         F.sum(F.col("times") * F.log10((F.coalesce("n", F.lit(0)) + 0.5) / F.lit(model.denominator))).alias("_log"))
     zero = F.lit(0.0)
-    return walked.join(tail, F.col("row") == F.col("_row"), "left").select(
+    found = walked.join(tail, F.col("row") == F.col("_row"), "left").drop("_row")
+    walk = F.col("walk") + F.coalesce("_log", zero)
+    if joins:
+        grams = walked.select(F.col("row").alias("_row"), F.explode("grams").alias("_gram"))
+        logs = _looked_up(rows.select("text"), trained)
+        sums = grams.join(logs, F.col("_gram") == F.col("gram")).groupBy("_row").agg(F.sum("log").alias("_walk"))
+        found, walk = found.join(sums, F.col("row") == F.col("_row")), F.col("_walk")
+    return found.select(
         "doc_id", "held_out", "n_tokens", (F.col("known") + F.coalesce("_known", F.lit(0))).alias("n_known"),
         F.lit(train_tokens).cast("long").alias("train_tokens"), (F.col("base") + F.coalesce("_log", zero)).alias("base_score"),
-        (F.col("walk") + F.coalesce("_log", zero)).alias("score"))
+        walk.alias("score"))
