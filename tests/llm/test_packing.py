@@ -126,3 +126,22 @@ def test_target_shares_can_be_given(spark):
     out = packing.pack(docs, weights={"a": 0.5, "b": 0.5}, length=256, window=4).toPandas()
     first = out[out["round"] < 3].groupby("queue").length.sum()
     assert abs(first["source a"] / first.sum() - 0.5) < 0.1
+
+
+def test_small_sources_have_own_queues_and_weights(spark):
+    rows = [(i, "w " * 20, f"s{i % 1200}") for i in range(6000)] + [(6000 + i, "w " * 20, "rare") for i in range(6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    out = packing.pack(docs, length=256, window=16).toPandas()
+    assert out["queue"].nunique() == 1201 and not out["queue"].str.contains("rest").any()
+    found = packing.pack(docs, weights={"rare": 0.5}, length=64, window=2).toPandas()
+    rare = found[found["queue"] == "source rare"]
+    # its credit is half of that of all others, so its 6 documents end where about 18 are served
+    assert found.length.sum() == out.length.sum() and rare["round"].max() <= 18 * out.doc_tokens.max() // 128
+
+
+def test_times_of_many_queues_match_the_sum_over_queues():
+    rng = np.random.default_rng(4)
+    totals = {i: int(n) for i, n in enumerate(rng.integers(1, 5000, 300))}
+    weights = {i: float(w) for i, w in enumerate(rng.random(300) + 0.01)}
+    _, times, every = packing.served(totals, weights)[0]
+    assert np.allclose(every, [sum(min(totals[q], weights[q] * t) for q in totals) for t in times])

@@ -12,8 +12,9 @@ the output are running sums over blocks (see ``numbering``), so one source may h
 part of all rows. The output is one stream of tokens in order of (round, queue, place),
 cut every ``length`` tokens, so only the last sequence can need padding.
 
-A source with less than 1 / ``QUEUES`` of all tokens joins a common queue, so there are at
-most ``QUEUES`` + 1 queues at any size of the corpus.
+Every source has its own queue, however small it is; queues, totals and shares are a
+written table that is joined to the rows. Queues that keep their share of tokens all run
+empty together, so only the sources with a given weight add times at which one runs empty.
 
 Undefined and edge cases: a null text is empty: its end token alone is packed. A null
 source is a source of its own. Every row is packed, repeated rows and rows without id as
@@ -34,9 +35,7 @@ from tillcast.session import materialize
 
 LENGTH = 2048
 WINDOW = 64             # sequences that one round fills
-QUEUES = 500
 END = 1
-_REST = "\x00rest"
 
 TOKENS = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("source", pa.string()), ("n", pa.int64()),
                     ("ids", pa.binary())])
@@ -96,8 +95,13 @@ def served(totals, weights):
     """
     names = sorted(totals)
     full, share = np.array([totals[q] for q in names], dtype=float), np.array([weights[q] for q in names], dtype=float)
-    times = np.unique(np.concatenate([[0.0], full / share]))
-    every = np.minimum(full, times[:, None] * share).sum(axis=1)
+    ends = full / share
+    times = np.unique(np.concatenate([[0.0], ends]))
+    rank = np.argsort(ends, kind="stable")
+    empty = np.searchsorted(ends[rank], times, side="right")    # queues that are empty by each time
+    done = np.concatenate([[0.0], np.cumsum(full[rank])])[empty]
+    live = np.concatenate([np.cumsum(share[rank][::-1])[::-1], [0.0]])[empty]
+    every = done + times * live
     return {q: (weights[q], times, every) for q in names}
 
 
@@ -116,33 +120,30 @@ def pack(documents: DataFrame, *, weights=None, length=LENGTH, window=WINDOW, vo
         _tokens(vocabulary, end), "row long, doc_id long, source string, n long, ids binary"), "tokens")
     per = tokens.groupBy("source").agg(F.sum("n").alias("n"), F.count("*").alias("rows"))
     size = per.agg(F.sum("n").alias("n"), F.sum("rows").alias("rows")).first()
-    least = (size.n or 0) / QUEUES
-    own = {r.source: r.n for r in per.where(F.col("n") >= least).collect()}
-    rest = (size.n or 0) - sum(own.values())
-    names = {s: f"source {s}" if s is not None else "no source" for s in own}
-    totals = {names[s]: n for s, n in own.items()} | ({_REST: rest} if rest else {})
-    share = {names[s]: w for s, w in (weights or {}).items() if s in own}
-    scale = sum(totals.values()) or 1
-    share = {q: share.get(q, n / scale) for q, n in totals.items()}
-    plan = served(totals, share)
-
-    lookup = spark.createDataFrame([(s, q) for s, q in names.items()], "_source string, queue string")
+    scale = size.n or 1
+    given = spark.createDataFrame([(s, float(w)) for s, w in (weights or {}).items()], "_source string, _weight double")
+    queues = materialize(per.join(F.broadcast(given), F.col("source").eqNullSafe(F.col("_source")), "left").select(
+        F.col("source").alias("_source"), F.coalesce(F.concat(F.lit("source "), "source"), F.lit("no source")).alias("queue"),
+        F.col("n").alias("_total"), F.coalesce("_weight", F.col("n") / F.lit(scale)).alias("weight"),
+        F.col("_weight").isNotNull().alias("_given")), "queues")
+    # queues without a given weight run empty together, as one queue of all their tokens would
+    own = queues.where("_given").collect()
+    rest = (size.n or 0) - sum(r._total for r in own)
+    totals = {(r.queue,): r._total for r in own} | ({(): rest} if rest else {})
+    plan = served(totals, {(r.queue,): r.weight for r in own} | {(): rest / scale})
+    _, times, every = next(iter(plan.values()), (1.0, np.zeros(1), np.zeros(1)))
+
     rows = tokens.select("row", "doc_id", "source", "n").join(
-        F.broadcast(lookup), F.col("source").eqNullSafe(F.col("_source")), "left")
-    rows = rows.withColumn("queue", F.coalesce("queue", F.lit(_REST)))
+        queues.select("_source", "queue", "weight"), F.col("source").eqNullSafe(F.col("_source")))
     blocks = numbering.block_count(size.rows or 0)
     rows = rows.withColumn("block", F.pmod(F.xxhash64("row"), F.lit(blocks)))
     rows = materialize(numbering.running_sum(rows, "queue", "block", ["row"], "n", "before").drop("_source"), "queued")
 
     @F.pandas_udf("long")
-    def turn(queue: pd.Series, stop: pd.Series) -> pd.Series:
-        out = np.zeros(len(queue), dtype=np.int64)
-        for name, at in pd.Series(np.arange(len(queue))).groupby(queue.to_numpy()):
-            weight, times, every = plan[name]
-            out[at] = (np.interp(stop.to_numpy()[at] / weight, times, every) - 0.5).clip(0) // (window * length)
-        return pd.Series(out)
-
-    rows = rows.withColumn("round", turn("queue", F.col("before") + F.col("n"))) \
+    def turn(weight: pd.Series, stop: pd.Series) -> pd.Series:
+        return pd.Series((np.interp(stop / weight, times, every) - 0.5).clip(0) // (window * length)).astype("int64")
+
+    rows = rows.withColumn("round", turn("weight", F.col("before") + F.col("n"))) \
         .withColumn("group", F.floor(F.col("round") / 64)).withColumn("all", F.lit(0))
     rows = numbering.running_sum(rows, "all", "group", ["round", "queue", "before"], "n", "place")
     placed = rows.select(F.col("row").alias("_row"), "place", "queue", "round")
