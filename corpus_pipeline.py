@@ -9,7 +9,7 @@ empty tables are handled as the operators' modules say.
 from pyspark.sql import functions as F
 
 from tillcast.llm import decontam, lines, minhash, packing, quality
-from tillcast.session import shared_path
+from tillcast.session import materialize, shared_path
 
 
 def _table(spark, base, name):
@@ -29,10 +29,19 @@ def fresh_lines(spark, docs, sf_dir):
 
 
 def one_of_each(spark, docs, sf_dir):
-    """One document of each group of near-duplicates, the one of smallest id (five words, 0.8)."""
-    found = minhash.near_duplicates(docs)
-    gone = found.where("not kept and component_id is not null").select(F.col("doc_id").alias("_t_id")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("_t_id"), "left_anti")
+    """One row of each group of near-duplicates, the first by id and place (five words, 0.8).
+
+    Rows are numbered and linked by number, so repeated rows, rows without id and texts that
+    share an id are rows of their own. Rows without id come last in a group.
+    """
+    rows = materialize(docs.withColumn("_t_row", F.monotonically_increasing_id()), "numbered")
+    found = minhash.near_duplicates(rows, id_col="_t_row").select(F.col("doc_id").alias("_t_at"), "component_id")
+    found = materialize(found.join(rows.select("_t_row", "doc_id"), F.col("_t_at") == F.col("_t_row")), "grouped")
+    place = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("id"), F.col("_t_row").alias("row"))
+    first = found.groupBy(F.col("component_id").alias("_t_group")).agg(F.min(place).alias("first"), F.count("*").alias("many"))
+    gone = found.join(first.where("many > 1"), F.col("component_id") == F.col("_t_group")).where("_t_row <> first.row")
+    kept = rows.join(gone.select(F.col("_t_row").alias("_t_gone")), F.col("_t_row") == F.col("_t_gone"), "left_anti")
+    return kept.select([F.col(f"`{c}`") for c in docs.columns])
 
 
 def no_benchmark(spark, docs, sf_dir):

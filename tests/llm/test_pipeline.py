@@ -48,6 +48,16 @@ def test_decisions(results):
         assert r.n_chars == len(r.text)
 
 
+def test_one_row_of_each_group_stays(spark, odd, folder):
+    words = lambda k: " ".join(f"{k}{i}" for i in range(40))
+    rows = [(1, words("a")), (1, words("a")), (None, words("a")), (2, words("b")), (2, words("a")), (3, words("c")),
+            (None, words("d")), (None, words("d")), (4, None), (4, None), (5, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    left = sorted(((r.doc_id, r.text) for r in corpus_pipeline.one_of_each(spark, docs, folder).collect()), key=str)
+    assert left == sorted([(1, words("a")), (2, words("b")), (3, words("c")), (None, words("d")), (4, None), (4, None), (5, "")], key=str)
+    assert corpus_pipeline.one_of_each(spark, odd, folder).columns == odd.columns
+
+
 def test_run_gives_the_last_stage(spark, folder, results):
     key = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
     assert corpus_pipeline.run(spark, folder).select(key).exceptAll(results[5].select(key)).count() == 0
