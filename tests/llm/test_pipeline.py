@@ -70,5 +70,5 @@ def test_empty_tables(spark, folder, tmp_path):
 
 
 def test_every_dealt_operator_is_registered():
-    assert [int(name[2:].split("_")[0]) for name in queries.QUERIES] == list(range(1, 11))
+    assert [int(name[2:].split("_")[0]) for name in queries.QUERIES] == list(range(1, 14))
     assert len(corpus_pipeline.STAGES) == 5 and corpus_pipeline.ORACLE_SQL is None

@@ -1,7 +1,7 @@
 """The registered queries of this subpackage: thin digests of its operators."""
 
 from tillcast.llm import (
-    decontam, embeddings, folds, langid, lines, lm, minhash, packing, quality, sharding, toxicity,
+    codes, decontam, embeddings, folds, langid, lines, lm, minhash, packing, quality, sharding, toxicity,
 )
 
 
@@ -56,8 +56,14 @@ def op10_label_propagation_shards(spark, base):
     return sharding.shard(_table(spark, base, "documents"))
 
 
+def op12_resident_codes(spark, base):
+    return codes.compress(_table(spark, base, "embeddings"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_itq_embeddings, op2_circulant_minhash, op3_naive_bayes_language, op4_backoff_automaton, op5_mixture_packing,
     op6_toxicity_grammar, op7_quality_trees, op8_line_windows, op9_simhash_decontamination, op10_label_propagation_shards,
+    op12_resident_codes,
 )}
-SQL = {"op1_itq_embeddings": embeddings.SQL, "op2_circulant_minhash": minhash.SQL, "op8_line_windows": lines.SQL}
+SQL = {"op1_itq_embeddings": embeddings.SQL, "op2_circulant_minhash": minhash.SQL, "op8_line_windows": lines.SQL,
+       "op12_resident_codes": codes.SQL}
