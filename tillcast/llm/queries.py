@@ -1,7 +1,10 @@
 """The registered queries of this subpackage: thin digests of its operators."""
 
+from pyspark.sql import functions as F
+
 from tillcast.llm import (
-    codes, decontam, embeddings, folds, langid, lines, lm, minhash, packing, quality, sharding, toxicity,
+    codes, decontam, embeddings, folds, langid, lines, lm, minhash, packing, quality, sharding, substrings,
+    toxicity,
 )
 
 
@@ -60,10 +63,15 @@ def op12_resident_codes(spark, base):
     return codes.compress(_table(spark, base, "embeddings"))
 
 
+def op13_seed_extend(spark, base):
+    found = substrings.remove_repeats(_table(spark, base, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_itq_embeddings, op2_circulant_minhash, op3_naive_bayes_language, op4_backoff_automaton, op5_mixture_packing,
     op6_toxicity_grammar, op7_quality_trees, op8_line_windows, op9_simhash_decontamination, op10_label_propagation_shards,
-    op12_resident_codes,
+    op12_resident_codes, op13_seed_extend,
 )}
 SQL = {"op1_itq_embeddings": embeddings.SQL, "op2_circulant_minhash": minhash.SQL, "op8_line_windows": lines.SQL,
-       "op12_resident_codes": codes.SQL}
+       "op12_resident_codes": codes.SQL, "op13_seed_extend": substrings.SQL}

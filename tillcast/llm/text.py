@@ -15,6 +15,8 @@ BLOCK = 1 << 20  # bytes of text hashed at once
 _rng = np.random.Generator(np.random.PCG64(20240229))
 _LETTER = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _LETTER[65:91] = _LETTER[97:123]  # A-Z hash as a-z
+#: Letters for words that are compared as they are.
+EXACT = np.random.Generator(np.random.PCG64(20240301)).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = 0x9E3779B97F4A7C15 | 1
 _POWERS = {}
 
@@ -82,11 +84,12 @@ def blocks(data, offsets, word, size=BLOCK):
         a = b
 
 
-def words(data, offsets, word=PLAIN, spans=False, prefixes=()):
+def words(data, offsets, word=PLAIN, spans=False, prefixes=(), letters=_LETTER):
     """Hashes of all words and the text each lies in, in order of the buffer.
 
     With ``spans`` also the byte where each word starts and ends. For each length in
     ``prefixes``, also the hash of the word's first bytes (0 where the word is shorter).
+    ``letters`` gives each byte its number: A-Z as a-z, or ``EXACT``.
     """
     hashes, docs, starts, ends = [], [], [], []
     heads = [[] for _ in prefixes]
@@ -108,7 +111,7 @@ def words(data, offsets, word=PLAIN, spans=False, prefixes=()):
         up, down = _powers(b - a)
         sums = np.empty(b - a + 1, dtype=np.uint64)
         sums[0] = 0
-        np.cumsum(_LETTER[part] * up[:b - a], out=sums[1:])
+        np.cumsum(letters[part] * up[:b - a], out=sums[1:])
         low, back = sums[begin], down[begin]
         hashes.append(mix((sums[end] - low) * back))
         docs.append((np.searchsorted(offsets, begin + a, side="right") - 1).astype(np.int32))
