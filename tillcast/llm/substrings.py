@@ -227,7 +227,7 @@ def repeats(documents: DataFrame, *, words=WORDS, gram=GRAM, segment=SEGMENT, id
     seeds = materialize(docs.mapInArrow(_seeds(words, gram), f"id {kind}, mark long, at int, gram long"), "seeds")
     shared = seeds.groupBy("gram").agg(F.min(F.struct("id", "mark", "at")).alias("pivot"), F.max("id").alias("last")).where(
         "pivot.id < last").select(F.col("gram").alias("_gram"), "pivot")
-    hits = seeds.join(shared, F.col("gram") == F.col("_gram")).select("gram", "id", "mark", "at", "pivot").distinct().select(
+    hits = seeds.join(shared, F.col("gram") == F.col("_gram")).select(
         "id", "mark", "at", F.floor(F.col("at") / segment).cast("int").alias("seg"),
         F.col("pivot.id").alias("p_id"), F.col("pivot.mark").alias("p_mark"), F.col("pivot.at").alias("p_at"),
         F.floor(F.col("pivot.at") / segment).cast("int").alias("p_seg"))
@@ -242,12 +242,12 @@ def repeats(documents: DataFrame, *, words=WORDS, gram=GRAM, segment=SEGMENT, id
     later = hits.where("not (p_id = id and p_mark = mark and p_at = at)")
     apart = (F.col("at") - F.col("p_at")).alias("apart")
     chains = later.where("p_id <> id").groupBy(*_KEY, "seg", "p_id", "p_mark", "p_seg", apart).agg(
-        F.min("at").alias("low"), F.max("at").alias("high"), F.collect_list("at").alias("ats"))
+        F.min("at").alias("low"), F.max("at").alias("high"), F.collect_set("at").alias("ats"))
     pivots = cut.select(F.col("id").alias("_id"), F.col("mark").alias("_mark"), F.col("seg").alias("_seg"), "first", "text")
     found = chains.join(pivots, (F.col("p_id") == F.col("_id")) & (F.col("p_mark") == F.col("_mark")) & (F.col("p_seg") == F.col("_seg")))
     found = found.select(*_KEY, "seg", "ats", "low", "high", "apart", "first", "text").mapInArrow(
         _fetch(words, gram), f"id {kind}, mark long, seg int, ats array<int>, place int, pivot string")
-    own = later.where("p_id = id").groupBy(*_KEY, "seg").agg(F.collect_list("at").alias("ats")).select(
+    own = later.where("p_id = id").groupBy(*_KEY, "seg").agg(F.collect_set("at").alias("ats")).select(
         *_KEY, "seg", "ats", F.lit(0).alias("place"), F.lit(None).cast("string").alias("pivot"))
     work = found.unionByName(own).groupBy(*_KEY, "seg").agg(F.collect_list(F.struct("place", "pivot", "ats")).alias("chains"))
     extend, schema = _extend(words, gram, kind)
