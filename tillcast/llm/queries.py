@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from tillcast.llm import (
     codes, decontam, embeddings, folds, langid, lines, lm, minhash, packing, quality, sharding, substrings,
-    toxicity,
+    toxicity, trie,
 )
 
 
@@ -59,6 +59,10 @@ def op10_label_propagation_shards(spark, base):
     return sharding.shard(_table(spark, base, "documents"))
 
 
+def op11_centroid_trie(spark, base):
+    return trie.prefix_trie(*trie.rebuilt(trie.numbered_turns(_table(spark, base, "conversations"))))
+
+
 def op12_resident_codes(spark, base):
     return codes.compress(_table(spark, base, "embeddings"))
 
@@ -71,7 +75,7 @@ def op13_seed_extend(spark, base):
 QUERIES = {f.__name__: f for f in (
     op1_itq_embeddings, op2_circulant_minhash, op3_naive_bayes_language, op4_backoff_automaton, op5_mixture_packing,
     op6_toxicity_grammar, op7_quality_trees, op8_line_windows, op9_simhash_decontamination, op10_label_propagation_shards,
-    op12_resident_codes, op13_seed_extend,
+    op11_centroid_trie, op12_resident_codes, op13_seed_extend,
 )}
 SQL = {"op1_itq_embeddings": embeddings.SQL, "op2_circulant_minhash": minhash.SQL, "op8_line_windows": lines.SQL,
-       "op12_resident_codes": codes.SQL, "op13_seed_extend": substrings.SQL}
+       "op11_centroid_trie": trie.SQL, "op12_resident_codes": codes.SQL, "op13_seed_extend": substrings.SQL}
