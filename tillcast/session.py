@@ -68,6 +68,10 @@ def release(spark: SparkSession) -> None:
     For its owner to call once all results are written: frames that still read a
     hand-off table fail afterwards.
     """
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(_own_dir(spark))
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    drop_path(spark, _own_dir(spark))
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete one path of the shared folder."""
+    found = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(found, True)
