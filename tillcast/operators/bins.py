@@ -105,27 +105,25 @@ def fit_edges(df: DataFrame, inputs, weight=None, bins=64, entries=ENTRIES) -> l
                 summary.add(batch.column(f"x{i}").fill_null(np.nan).to_numpy(zero_copy_only=False), w)
         yield _emit(found)
 
-    def merge(batches):
+    def merged(batches):
         found = {}
         for batch in batches:
-            for f, salt, _, level, value, w in zip(*(batch.column(c).to_pylist() for c in _NAMES)):
-                own = found.setdefault((f, salt, 0), Summary(entries))
-                own.merge(level, np.array(value), np.array(w))
-        yield _emit(found)
+            values, weights = batch.column("value"), batch.column("weight")
+            for i, key in enumerate(zip(*(batch.column(c).to_pylist() for c in ("feature", "salt", "level")))):
+                found.setdefault((*key[:2], 0), Summary(entries)).merge(key[2], values[i].values.to_numpy(), weights[i].values.to_numpy())
+        return found
 
-    parts = rows.mapInArrow(gather, _SUMMARY)
-    for salt in (F.col("salt"), F.lit(0)):
-        parts = parts.withColumn("salt", salt).repartition("feature", "salt").sortWithinPartitions(
-            "feature", "salt", "source", "level", "value").mapInArrow(merge, _SUMMARY)
+    def merge(batches):
+        yield _emit(merged(batches))
 
     def cut(batches):
-        found = {}
-        for batch in batches:
-            for f, level, value, w in zip(*(batch.column(c).to_pylist() for c in ("feature", "level", "value", "weight"))):
-                found.setdefault(f, Summary(entries)).merge(level, np.array(value), np.array(w))
-        yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int32()), pa.array(
+        found = merged(batches)
+        yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in found], pa.int32()), pa.array(
             [s.edges(bins) for s in found.values()], pa.list_(pa.float64()))], ["feature", "edges"])
 
+    order = ["feature", "salt", "source", "level", "value"]
+    parts = rows.mapInArrow(gather, _SUMMARY).repartition("feature", "salt").sortWithinPartitions(order).mapInArrow(merge, _SUMMARY)
+    parts = parts.withColumn("source", F.col("salt")).withColumn("salt", F.lit(0)).repartition("feature").sortWithinPartitions(order)
     out = {r.feature: np.array(r.edges) for r in parts.mapInArrow(cut, "feature int, edges array<double>").collect()}
     return [out.get(i, np.zeros(0)) for i in range(len(inputs))]
 

@@ -33,7 +33,8 @@ from pyspark.sql import functions as F
 from tillcast.operators.bins import Binned, unpack
 from tillcast.session import drop_path, materialize, shared_path
 
-TASK_ROWS = 100_000     # rows of a node, or of a lane, that one task takes over
+TASK_ROWS = 1_000_000   # rows of a node, or of a lane, that one task takes over (about 150 bytes each)
+AT_ONCE = 8192          # rows whose histogram is summed at once
 BLOCK = 10              # rounds between two writes of the margin
 COPIES = 32             # tasks that share the trees of a small forest
 LEAST_GAIN = 1e-6
@@ -87,6 +88,16 @@ def best_splits(hist, settings):
     return at, gain[each, at], left[each, at]
 
 
+def _add_histograms(out, codes, g, h):
+    """Add rows to ``out`` (cells, 3); ``codes`` has the cells of each row, one per feature."""
+    many = codes.shape[1]
+    for i in range(0, len(codes), AT_ONCE):
+        flat = codes[i:i + AT_ONCE].astype(np.int64).ravel()
+        for k, v in enumerate((g, h)):
+            out[:, k] += np.bincount(flat, np.repeat(v[i:i + AT_ONCE], many), len(out))
+        out[:, 2] += np.bincount(flat, minlength=len(out))
+
+
 class Tree:
     """A tree as lists; candidates keep the sums and gains that choosing among them needs."""
 
@@ -155,9 +166,9 @@ def grow(bins, g, h, settings, number, path=1, depth=0):
     size = len(used) * settings.bins
 
     def histogram(at):
-        flat = codes[at].ravel()
-        sums = [np.bincount(flat, np.repeat(v[at], len(used)), size) for v in (g, h)] + [np.bincount(flat, minlength=size)]
-        return np.stack(sums, axis=1).reshape(len(used), settings.bins, 3)
+        sums = np.zeros((size, 3))
+        _add_histograms(sums, codes[at], g[at], h[at])
+        return sums.reshape(len(used), settings.bins, 3)
 
     tree, leaf, heap = Tree(), np.zeros(rows, dtype=np.int64), []
     tree.add((g.sum(), h.sum(), rows), path)
@@ -332,22 +343,25 @@ def _per_unit(batch, units, settings, features):
 
 def _split_nodes(rows, units, settings, features):
     """Best split of every feature for the asked nodes of all units, by histograms summed in one shuffle."""
+    size = settings.bins
+    asked = [np.array(sorted(unit.asked), dtype=np.int64) for unit in units]
+
     def partial(batches):
-        size, sums = settings.bins, {}
+        sums = [np.zeros((len(nodes) * features * size, 3)) for nodes in asked]
+        cells = np.arange(features) * size
         for batch in batches:
-            for i, at, own, node, g, h in _per_unit(batch, units, settings, features):
-                for n in np.unique(node):
-                    mine = node == n
-                    flat = (own[mine] + np.arange(features) * size).ravel()
-                    parts = [np.bincount(flat, np.repeat(v[mine], features), features * size) for v in (g, h)]
-                    found = np.stack([*parts, np.bincount(flat, minlength=features * size)], axis=1).reshape(features, size, 3)
-                    sums[i, n] = sums.get((i, n), 0.0) + found
+            for i, _, own, node, g, h in _per_unit(batch, units, settings, features):
+                slot = np.searchsorted(asked[i], node) * (features * size)
+                for k in range(0, len(own), AT_ONCE):
+                    part = slice(k, k + AT_ONCE)
+                    _add_histograms(sums[i], own[part] + cells + slot[part, None], g[part], h[part])
         source = TaskContext.get().partitionId()
-        for (i, n), found in sums.items():
-            yield pa.record_batch([
-                pa.array(np.full(features, i, np.int32)), pa.array(np.full(features, n, np.int32)), pa.array(np.arange(features, dtype=np.int32)),
-                pa.array(np.full(features, source, np.int32)), pa.array([x.tobytes() for x in found], pa.binary())],
-                names=["unit", "node", "feature", "source", "hist"])
+        for i, nodes in enumerate(asked):
+            found = sums[i].reshape(-1, size, 3)
+            full = np.flatnonzero(found[..., 2].any(1))
+            columns = [np.full(len(full), i), nodes[full // features], full % features, np.full(len(full), source)]
+            yield pa.record_batch([*(pa.array(c.astype(np.int32)) for c in columns), pa.array([found[k].tobytes() for k in full], pa.binary())],
+                                  names=["unit", "node", "feature", "source", "hist"])
 
     def reduce(batches):
         key, total = None, None
