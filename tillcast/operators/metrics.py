@@ -49,6 +49,20 @@ def score_models(df, models, by=(), target="sale_amount", mask_stockout=True, rh
     return long.groupBy(*by, "model").agg(*metric_columns(mask_stockout, rho_masked))
 
 
+def score_groups_of_best(df, models, by, target="sale_amount", mask_stockout=True):
+    """Metrics per group of the model that is best over all rows, from one aggregation.
+
+    Grouping sets give the models' metrics over all rows beside those of each group.
+    """
+    by = list(by)
+    long = unpivot_predictions(df, models, target, extra=by)
+    both = long.groupingSets([[F.col("model")], [F.col("model"), *map(F.col, by)]], F.col("model"), *map(F.col, by)).agg(
+        F.grouping_id().alias("_set"), *metric_columns(mask_stockout))
+    whole = F.col("_set") > 0
+    best = best_model(both.where(whole)).select(F.col("model").alias("_best"))
+    return both.where(~whole).drop("_set").join(best, F.col("model") == F.col("_best"), "left_semi")
+
+
 def best_model(metrics):
     """The model with the smallest WAPE (name order breaks ties)."""
     scored = metrics.filter((F.col("n") > 0) & F.col("wape").isNotNull())

@@ -1,17 +1,14 @@
 """Demand recovery: imputers for stockout hours, their ensemble, and the daily sum.
 
-Imputed hours are arrays of 16 in the daily row; nothing here explodes to hourly rows
-except the regression imputer, whose training set is hourly by nature.
+Imputed hours are arrays of 16 in the daily row; nothing here explodes to hourly rows.
 """
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
 from tillcast.constants import DATE, HOURLY_COVARIATES, OPERATING_HOURS, SERIES_KEYS
 from tillcast.functions.arrays import array_sum, fill_stockouts, replace_operating
 from tillcast.functions.nulls import floored_ratio, join_keys, non_negative
-from tillcast.operators.hourly import hourly_cells
+from tillcast.operators.hourly import hour_position
 
 HOURS = range(OPERATING_HOURS)
 
@@ -141,20 +138,66 @@ def average_draws(df, cell, value="imputed"):
     return df.groupBy(*cell).agg(F.avg(value).alias(value))
 
 
-def fit_regression(df, columns=HOURLY_COVARIATES, estimator=None):
-    """Regression imputer on the observed hourly cells: covariates and hour position."""
-    inputs = [f"{c}_norm" for c in columns] + ["hour_pos"]
-    cells = hourly_cells(df, columns).filter(F.col("sale").isNotNull())
-    assembler = VectorAssembler(inputCols=inputs, outputCol="_x")
-    estimator = estimator or LinearRegression(featuresCol="_x", labelCol="sale", solver="normal")
-    return assembler, estimator.fit(assembler.transform(cells).select("_x", "sale"))
+def regression_moments(df, columns=HOURLY_COVARIATES, masked="masked"):
+    """Sums of products of (1, covariates, hour position, sale) over the observed cells, as a list of rows.
+
+    Covariates do not change within a day, so a day's cells enter by their number and by
+    sums of sales and hours; no hour becomes a row.
+    """
+    y = F.col(masked)
+    marked = F.transform(y, lambda x, h: F.when(x.isNotNull(), hour_position(h)))
+    products = F.zip_with(y, marked, lambda x, h: x * h)
+    rows = df.select(*[F.col(f"{c}_norm").cast("double").alias(f"c{i}") for i, c in enumerate(columns)],
+                     F.size(F.filter(y, lambda x: x.isNotNull())).cast("double").alias("n"), array_sum(y).alias("y"),
+                     array_sum(F.transform(y, lambda x: x * x)).alias("yy"), array_sum(marked).alias("h"),
+                     array_sum(F.transform(marked, lambda h: h * h)).alias("hh"), array_sum(products).alias("hy"))
+    whole = ["one", *[f"c{i}" for i in range(len(columns))], "h", "y"]
+    rows = rows.withColumn("one", F.lit(1.0))
+    inner = {("h", "h"): "hh", ("h", "y"): "hy", ("y", "y"): "yy"}
+
+    def product(a, b):
+        if (a, b) in inner:
+            return F.col(inner[a, b])
+        if b in ("h", "y"):
+            return F.col(a) * F.col(b)
+        return F.col(a) * F.col(b) * F.col("n")
+
+    pairs = [(i, j) for i in range(len(whole)) for j in range(i, len(whole))]
+    sums = rows.agg(*[F.sum(product(whole[i], whole[j])).alias(f"s{i}_{j}") for i, j in pairs]).first()
+    return [[sums[f"s{min(i, j)}_{max(i, j)}"] or 0.0 for j in range(len(whole))] for i in range(len(whole))]
+
+
+def sweep(moments, least=1e-9):
+    """(coefficients, intercept) of least squares on sums of products of (1, inputs, target).
+
+    Inputs are swept in order; one that earlier ones explain (all but ``least`` of its
+    spread) gets the coefficient 0.
+    """
+    size, n = len(moments), moments[0][0]
+    if not n:
+        return [0.0] * (size - 2), 0.0
+    a = [[moments[i][j] - moments[0][i] * moments[0][j] / n for j in range(1, size)] for i in range(1, size)]
+    spread, used = [a[k][k] for k in range(size - 2)], []
+    for k in range(size - 2):
+        pivot = a[k][k]
+        if spread[k] <= 0 or pivot <= least * spread[k] or pivot <= least * moments[k + 1][k + 1]:
+            continue
+        used.append(k)
+        row = [x / pivot for x in a[k]]
+        a = [[row[j] if i == k else a[i][j] - a[i][k] * row[j] for j in range(size - 1)] for i in range(size - 1)]
+    beta = [a[k][-1] if k in used else 0.0 for k in range(size - 2)]
+    return beta, (moments[0][-1] - sum(b * moments[0][k + 1] for k, b in enumerate(beta))) / n
+
+
+def fit_regression(df, columns=HOURLY_COVARIATES):
+    """Regression imputer on the observed hourly cells, covariates and hour position: (coefficients, intercept)."""
+    return sweep(regression_moments(df, columns))
 
 
 def add_regression_imputation(df, model, columns=HOURLY_COVARIATES, output="imputed_regression"):
     """Score a linear imputer for every hour of the row, as an array expression."""
-    _, linear = model
-    weights = [float(w) for w in linear.coefficients]
-    daily = sum((F.col(f"{c}_norm") * F.lit(w) for c, w in zip(columns, weights)), F.lit(float(linear.intercept)))
+    weights, intercept = model
+    daily = sum((F.col(f"{c}_norm") * F.lit(w) for c, w in zip(columns, weights)), F.lit(float(intercept)))
     return df.withColumn("_daily", daily).withColumn(output, F.array(*[
         F.col("_daily") + F.lit(weights[-1] * h / (OPERATING_HOURS - 1)) for h in HOURS])).drop("_daily")
 

@@ -6,8 +6,10 @@ from tillcast.constants import FEATURES, SERIES_KEYS
 from tillcast.operators import (
     backtest, encoding, features, importance, metrics, neighbors, report, ridge, split, stacking,
 )
-from tillcast.operators.per_group import fit_trees_per_group, ridge_per_group, score_per_group
-from tillcast.operators.trees import fit_trees, score, split_importance
+from tillcast.operators.attribution import importance_frame, mean_attribution, tree_attributions
+from tillcast.operators.boosting import score_groups
+from tillcast.operators.per_group import ridge_per_group, score_per_group
+from tillcast.operators.trees import score
 from tillcast.plans import training
 from tillcast.plans.recovering import recover_panel
 from tillcast.plans.rounding import rounded
@@ -24,7 +26,7 @@ ABLATED = {"recent against long mean": ("series mean", "mean of 28"), "week agai
 LINEAR = ["lag_1", "rolling_mean_28", "series_scale"]
 NEAR = ["lag_1", "rolling_mean_28", "series_scale", "discount"]
 BASES = {"xgboost": "lag_7", "lightgbm": "rolling_mean_28", "random_forest": "series_scale"}
-SMALL = training.Sizes().scaled(trees=20, depth=6)
+SHORT = training.Sizes().within(30)
 
 
 def looked_panel(spark, base):
@@ -55,10 +57,7 @@ def metrics_all_days(spark, base):
 
 def metrics_per_city(spark, base):
     """The best model of the test week, in each city."""
-    rows = materialize(test_rows(spark, base), "test")
-    best = metrics.best_model(metrics.score_models(rows, SIMPLE)).select(F.col("model").alias("_best"))
-    scored = metrics.score_models(rows, SIMPLE, by=["city_id"])
-    return rounded(scored.join(best, F.col("model") == F.col("_best"), "left_semi"))
+    return rounded(metrics.score_groups_of_best(test_rows(spark, base), SIMPLE, ["city_id"]))
 
 
 def feat_calendar_windows(spark, base):
@@ -259,23 +258,34 @@ def held_out(data):
 
 def gbt_forecast(spark, base):
     data = prepared(spark, base)
-    model = fit_trees(data.split("train"), FEATURES, "sale_amount_pred", SMALL.boosted, "sample_weight", data.split("val"))
+    model = data.fit({"m": "sale_amount_pred"}, SHORT.boosted)["m"]
     return score(model, held_out(data)).select(*KEYS, "split", "prediction")
 
 
 def gbt_fine_forecast(spark, base):
-    """The finer boosted model for both targets, and their blend."""
+    """The leaf-wise boosted model for both targets, and their blend."""
     data = prepared(spark, base)
     out = held_out(data)
-    for name, target in (("observed", "sale_amount"), ("recovered", "sale_amount_pred")):
-        model = fit_trees(data.split("train"), FEATURES, target, SMALL.fine, "sample_weight", data.split("val"))
+    for name, model in data.fit({"observed": "sale_amount", "recovered": "sale_amount_pred"}, SHORT.fine).items():
         out = score(model, out, name)
     return out.select(*KEYS, "split", "observed", "recovered", stacking.blend("observed", "recovered").alias("blend"))
 
 
+def gbt_one_tree(spark, base):
+    """A tree without penalties: leaves that are not their rows' weighted mean, and the mean prediction of the training rows."""
+    data = prepared(spark, base)
+    settings = training.BOOSTED_FINE.sized(trees=1, step=1.0, rows=1.0, columns="all", patience=0)
+    scored = score(data.fit({"m": "sale_amount_pred"}, settings, held="split <> 'train'")["m"], data.split("train"))
+    total = lambda c: F.sum(F.col("sample_weight") * F.col(c))
+    leaves = scored.filter("sale_amount_pred is not null").groupBy("prediction").agg(
+        F.count("*").alias("n"), total("sale_amount_pred").alias("y"), total("prediction").alias("p"), F.sum("sample_weight").alias("w"))
+    wrong = F.sum((F.abs(F.col("y") - F.col("p")) > 1e-6 * F.col("w")).cast("long"))
+    return rounded(leaves.agg(F.sum("n").alias("n"), wrong.alias("wrong_leaves"), (F.sum("p") / F.sum("w")).alias("mean_prediction")), 6)
+
+
 def rf_forecast(spark, base):
     data = prepared(spark, base)
-    model = fit_trees(data.split("train"), FEATURES, "sale_amount_pred", SMALL.forest, "sample_weight")
+    model = data.fit({"m": "sale_amount_pred"}, SHORT.forest)["m"]
     return score(model, held_out(data)).select(*KEYS, "split", "prediction")
 
 
@@ -288,9 +298,8 @@ def ridge_forecast(spark, base):
 
 def per_city_models(spark, base):
     data = prepared(spark, base)
-    scored, _ = fit_trees_per_group(data.split("train"), data.split("test"), "city_id", FEATURES,
-                                    "sale_amount_pred", SMALL.group.sized(trees=5))
-    return scored.select(*KEYS, "city_id", "prediction")
+    test = data.split("test").select(*KEYS, "city_id", *[c for c in FEATURES if c != "city_id"])
+    return score_groups(test, training.fit_cities(data, SHORT.group), "city_id", FEATURES).select(*KEYS, "city_id", "prediction")
 
 
 def per_city_ridge(spark, base):
@@ -305,21 +314,43 @@ def per_city_ridge(spark, base):
 
 def benchmark_run(spark, base):
     """Every forecaster, blend and stack on the test week."""
-    scored, _ = training.run_benchmark(prepared(spark, base), SMALL, knn_inputs=FEATURES)
+    scored, _ = training.run_benchmark(prepared(spark, base), SHORT, knn_inputs=FEATURES)
     return training.benchmark_metrics(scored)
 
 
 def ablation_run(spark, base):
     data = prepared(spark, base)
-    scored = training.run_ablations(data, training.Sizes().scaled(trees=8, depth=6))
+    scored = training.run_ablations(data, SHORT)
     return metrics.ablation_deltas(scored, training.ABLATIONS)
 
 
 def permutation_importance(spark, base):
     data = prepared(spark, base)
-    model = fit_trees(data.split("train"), FEATURES, "sale_amount_pred", SMALL.boosted, "sample_weight")
+    model = data.fit({"m": "sale_amount_pred"}, SHORT.boosted)["m"]
     grown = importance.permutation_importance(data.split("train"), model, FEATURES, "sale_amount_pred")
-    return importance.ranked(grown.join(split_importance(spark, model, FEATURES), "feature"), "wape_growth")
+    return importance.ranked(grown.join(importance_frame(spark, model), "feature"), "wape_growth")
+
+
+def attributed(spark, base):
+    """Attributions of a sample of the training rows, with their predictions."""
+    data = prepared(spark, base)
+    model = data.fit({"m": "sale_amount_pred"}, SHORT.boosted)["m"]
+    sample = materialize(score(model, importance.sample_rows(data.split("train"))), "sample")
+    return materialize(tree_attributions(sample, model, [*KEYS, "prediction"]), "attributions")
+
+
+def tree_attribution_sums(spark, base):
+    """Sampled rows, and those whose attributions do not add up to the prediction less the mean."""
+    gap = F.aggregate("values", F.col("base"), lambda a, x: a + x) - F.col("prediction")
+    return attributed(spark, base).agg(F.count("*").alias("n"), F.sum((F.abs(gap) > 1e-6).cast("long")).alias("wrong"))
+
+
+def tree_attribution_top(spark, base):
+    """The twenty inputs with the largest mean absolute attribution, written and read back."""
+    path = shared_path(spark, "sink")
+    top = importance.ranked(mean_attribution(attributed(spark, base), FEATURES), "mean_abs", 20)
+    sinks.write_importance(top, path, "mean_abs")
+    return spark.read.schema("feature string, mean_abs double").option("header", True).csv(path)
 
 
 def sampled_rows(spark, base):
@@ -339,8 +370,8 @@ QUERIES = {f.__name__: f for f in (
     feat_calendar_windows, metrics_models, metrics_all_days, metrics_per_city, metrics_validation, best_model, model_verdict,
     ablation_delta, metrics_union, blend_70_30, ridge_closed_form, stacking_ridge, stacking_folds,
     stacking_summary, knn_brute, forecaster_input, city_list, recovered_forecast, backtest_naive, backtest_ma, backtest_drift, backtest_aligned,
-    linear_attribution, top_features, report_markdown, gbt_forecast, gbt_fine_forecast, rf_forecast,
-    ridge_forecast, per_city_models, per_city_ridge, benchmark_run, ablation_run, permutation_importance,
+    linear_attribution, top_features, report_markdown, gbt_forecast, gbt_fine_forecast, gbt_one_tree, rf_forecast,
+    ridge_forecast, per_city_models, per_city_ridge, benchmark_run, ablation_run, permutation_importance, tree_attribution_sums, tree_attribution_top,
     sampled_rows, model_inventory, held_out_features, sink_panel, sink_metrics, sink_importance, sink_report,
     sink_forecasts,
 )}

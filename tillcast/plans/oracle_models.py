@@ -250,13 +250,23 @@ SQL["per_city_ridge"] = _per_city()
 
 def _held_out(columns=("lag_1", "rolling_mean_28", "series_scale")):
     """The last 14 days, filled with medians of the rows a fortnight before what precedes them."""
-    fills = ", ".join(rnd(c, f"coalesce({c}, (SELECT median({c}) FROM fitted))") for c in columns)
-    return f"""WITH {PANEL}, {LOOKED}, early AS (SELECT max(dt) AS last FROM panel
-          WHERE dt <= (SELECT max(dt) FROM panel) - 14),
-      fitted AS (SELECT * FROM looked WHERE dt <= (SELECT last FROM early) - 14)
-      SELECT {_K}, {fills}, {rnd('precpt', '(SELECT median(precpt) FROM fitted)')} FROM looked
-      WHERE dt > (SELECT max(dt) FROM panel) - 14"""
-
+    fills = ", ".join(rnd(c, f"coalesce({c}, m_{c})") for c in columns)
+    medians = ", ".join(f"median({c}) AS m_{c}" for c in (*columns, "precpt"))
+    return f"""WITH {PANEL}, {LOOKED.replace('looked AS (', 'looked AS MATERIALIZED (')}, ends AS MATERIALIZED (SELECT max(dt) AS last FROM panel),
+      early AS MATERIALIZED (SELECT max(dt) AS last FROM panel WHERE dt <= (SELECT last FROM ends) - 14),
+      fitted AS MATERIALIZED (SELECT {medians} FROM looked WHERE dt <= (SELECT last FROM early) - 14)
+      SELECT {_K}, {fills}, {rnd('precpt', 'm_precpt')} FROM looked, fitted
+      WHERE dt > (SELECT last FROM ends) - 14"""
+
+
+SQL["gbt_one_tree"] = f"""{_BASE}, weighed AS (SELECT sale_amount_pred AS y, CASE
+        WHEN date_diff('day', dt, (SELECT max(dt) FROM panel)) <= 30 THEN 1.0::DOUBLE
+        WHEN date_diff('day', dt, (SELECT max(dt) FROM panel)) <= 60 THEN 0.5::DOUBLE
+        ELSE 0.25::DOUBLE END AS w FROM parted WHERE split = 'train')
+      SELECT count(*) AS n, CAST(0 AS BIGINT) AS wrong_leaves, {rnd('mean_prediction', 'sum(w * y) / sum(w)', 6)}
+      FROM weighed WHERE y IS NOT NULL"""
+SQL["tree_attribution_sums"] = f"""{_BASE} SELECT least(count(*), {IMPORTANCE_SAMPLE}) AS n, CAST(0 AS BIGINT) AS wrong
+      FROM parted WHERE split = 'train'"""
 
 SQL |= {
     "held_out_features": _held_out(),

@@ -74,6 +74,41 @@ def recovered_of(expression, name="recovered"):
 panel AS (SELECT * FROM days_panel JOIN {name} USING (store_id, product_id, dt))"""
 
 
+def _regression():
+    """Least squares of the observed cells on five inputs by sweeping them in order, and the recovered days."""
+    x = [f"{c}_norm" for c in ("discount", "holiday_flag", "precpt", "avg_temperature")] + ["hour_pos"]
+    whole = ["1.0::DOUBLE", *x, "y"]
+    sums = ", ".join(f"sum({whole[i]} * {whole[j]}) AS s{i}_{j}" for i in range(7) for j in range(i, 7))
+    steps = [f"""seen AS (SELECT {', '.join(f'CAST({c} AS DOUBLE) AS {c}' for c in x[:4])}, hour_idx / 15.0::DOUBLE AS hour_pos, CAST(masked AS DOUBLE) AS y
+        FROM normed JOIN opened USING (store_id, product_id, dt) WHERE masked IS NOT NULL),
+      sums AS (SELECT {sums} FROM seen)""",
+             "a0 AS MATERIALIZED (SELECT *, " + ", ".join(f"s{i}_{j} - s0_{i} * s0_{j} / s0_0 AS a{i}_{j}" for i in range(1, 7) for j in range(i, 7)) + " FROM sums)"]
+    at = lambda i, j: f"a{min(i, j)}_{max(i, j)}"
+    for k in range(1, 6):
+        # swept rows and columns change sign with the pivot, so that the matrix stays symmetric
+        ok = f"(v{k} > 0 AND a{k}_{k} > 1e-9 * v{k} AND a{k}_{k} > 1e-9 * s{k}_{k})"
+        new = []
+        for i in range(1, 7):
+            for j in range(i, 7):
+                if i == k and j == k:
+                    e = f"-1 / a{k}_{k}"
+                elif k in (i, j):
+                    e = f"{at(i, j)} / a{k}_{k}"
+                else:
+                    e = f"{at(i, j)} - {at(i, k)} * {at(k, j)} / a{k}_{k}"
+                new.append(f"CASE WHEN {ok} THEN {e} ELSE a{i}_{j} END AS a{i}_{j}")
+        kept = [f"s{i}_{j}" for i in range(7) for j in range(i, 7)] + [f"v{i}" for i in range(1, 6)] + [f"u{i}" for i in range(1, k)]
+        source = f"a{k - 1}" if k > 1 else "(SELECT *, " + ", ".join(f"a{i}_{i} AS v{i}" for i in range(1, 6)) + " FROM a0)"
+        steps.append(f"a{k} AS MATERIALIZED (SELECT {', '.join(kept)}, {ok} AS u{k}, {', '.join(new)} FROM {source})")
+    beta = [f"CASE WHEN u{k} THEN a{k}_6 ELSE 0 END" for k in range(1, 6)]
+    steps.append("beta AS MATERIALIZED (SELECT " + ", ".join(f"{b} AS b{k}" for k, b in enumerate(beta, 1)) + ", (s0_6 - "
+                 + " - ".join(f"({b}) * s0_{k}" for k, b in enumerate(beta, 1)) + ") / s0_0 AS b0 FROM a5)")
+    steps.append("""imputed AS (SELECT o.*, b0 + b1 * discount_norm + b2 * holiday_flag_norm + b3 * precpt_norm + b4 * avg_temperature_norm
+        + b5 * hour_idx / 15.0::DOUBLE AS guess FROM opened o JOIN normed USING (store_id, product_id, dt) CROSS JOIN beta)""")
+    steps.append(recovered_of("CASE WHEN i.oos = 1 THEN greatest(i.guess, 0) ELSE c.sale END"))
+    return f"WITH {CELLS}, {WINDOWED}, {', '.join(steps)} SELECT {_K}, {rnd('sale_amount')}, {rnd('sale_amount_pred')} FROM panel"
+
+
 _MASKED = "CASE WHEN i.oos = 1 THEN greatest(i.imputed_weekday, 0) ELSE c.sale END"
 RECOVERED = recovered_of(_MASKED)
 _K = "store_id, product_id, dt"
@@ -149,3 +184,4 @@ SQL = {
         FROM correlations JOIN mu USING (store_id, product_id) WHERE levels > 3"""
         for c in ("sale_amount", "sale_amount_pred")),
 }
+SQL["recover_regression"] = _regression()

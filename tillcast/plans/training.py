@@ -1,5 +1,6 @@
 """From a recovered daily panel to fitted models, predictions, metrics and ablations."""
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import functions as F
@@ -12,14 +13,19 @@ from tillcast.operators.backtest import FORECASTERS, align, forecast, forecaster
 from tillcast.operators.encoding import MedianFill, Standardizer, TargetEncoder
 from tillcast.operators.features import build_features
 from tillcast.operators.neighbors import knn_forecast
-from tillcast.operators.per_group import fit_trees_per_group
+from tillcast.operators.per_group import groups_to_fit
 from tillcast.operators.ridge import ridge_pipeline
 from tillcast.operators.split import add_split, add_weights, part
 from tillcast.operators.stacking import blend, fit_stack
-from tillcast.operators.trees import BOOSTED, BOOSTED_ABLATION, BOOSTED_FINE, BOOSTED_GROUP, FOREST, fit_trees, score
+from tillcast.operators.boosting import fit_lanes, fit_models, lane_rows, score_groups
+from tillcast.operators.bins import bin_rows
+from tillcast.operators.trees import BOOSTED, BOOSTED_ABLATION, BOOSTED_FINE, BOOSTED_GROUP, FOREST, score
 from tillcast.session import materialize
 
 OBSERVED, RECOVERED, WEIGHT = "sale_amount", "sale_amount_pred", "sample_weight"
+KEYS = (*SERIES_KEYS, "dt")
+HELD = "split = 'val'"
+MOST_STEP = 0.3
 
 
 @dataclass(frozen=True)
@@ -38,6 +44,15 @@ class Sizes:
             trees=min(s.trees, trees), depth=min(s.depth, depth), patience=min(s.patience, max(2, trees // 5)))
         return Sizes(*map(change, (self.boosted, self.fine, self.forest, self.ablation, self.group)))
 
+    def within(self, rounds):
+        """The same settings cut to ``rounds`` trees, with steps that grow by as much (up to ``MOST_STEP``).
+
+        Depth, leaves, sampling and penalties stay; patience shrinks with the rounds.
+        """
+        change = lambda s: s if s.trees <= rounds else s.sized(
+            trees=rounds, step=min(MOST_STEP, s.step * s.trees / rounds), patience=min(s.patience, max(3, rounds // 6)))
+        return Sizes(*map(change, (self.boosted, self.fine, self.forest, self.ablation, self.group)))
+
 
 @dataclass
 class Prepared:
@@ -48,10 +63,23 @@ class Prepared:
     fill: MedianFill
     anchor: object
     inputs: list = field(default_factory=lambda: list(FEATURES))
+    _binned: object = None
 
     def split(self, name):
         return part(self.frame, name)
 
+    def binned(self):
+        """Bins of the training and validation rows, worked out once; edges come from the training rows."""
+        if self._binned is None:
+            known = self.frame.filter(F.col("split") != "test")
+            keep = [*KEYS, "split", "city_id", OBSERVED, RECOVERED, WEIGHT]
+            self._binned = bin_rows(known, self.inputs, [c for c in keep if c in known.columns], WEIGHT, self.split("train"))
+        return self._binned
+
+    def fit(self, targets, settings, inputs=None, held=HELD, weight=WEIGHT):
+        """Tree models by name, for names with their target columns, fitted together."""
+        return fit_models(self.binned(), targets, settings, KEYS, held, weight, inputs)
+
 
 def prepare(panel, fit_scope="train", inputs=FEATURES, chunk_rows=None):
     """Features, split, weights, encodings and median fills.
@@ -87,15 +115,24 @@ def prepare_held_out(panel, held, data, chunk_rows=None):
 
 
 def fit_base_models(data, sizes, target=RECOVERED):
-    """The forecasters of the benchmark except kNN, which has no fitted state."""
-    train, val, inputs = data.split("train"), data.split("val"), data.inputs
-    return {
-        "xgboost": fit_trees(train, inputs, target, sizes.boosted, WEIGHT, val),
-        "lgb_observed": fit_trees(train, inputs, OBSERVED, sizes.fine, WEIGHT, val),
-        "lgb_recovered": fit_trees(train, inputs, RECOVERED, sizes.fine, WEIGHT, val),
-        "random_forest": fit_trees(train, inputs, target, sizes.forest, WEIGHT),
-        "ridge": ridge_pipeline(train, inputs, target, weight=WEIGHT),
-    }
+    """The forecasters of the benchmark except kNN, which has no fitted state; fits run side by side."""
+    data.binned()
+    fits = (
+        lambda: data.fit({"xgboost": target}, sizes.boosted),
+        lambda: data.fit({"lgb_observed": OBSERVED, "lgb_recovered": RECOVERED}, sizes.fine),
+        lambda: data.fit({"random_forest": target}, sizes.forest),
+        lambda: {"ridge": ridge_pipeline(data.split("train"), data.inputs, target, weight=WEIGHT)},
+    )
+    with ThreadPoolExecutor(len(fits)) as pool:
+        return {name: model for found in pool.map(lambda fit: fit(), fits) for name, model in found.items()}
+
+
+def fit_cities(data, settings, target=RECOVERED, group="city_id"):
+    """Nodes of one boosted model per group with enough rows, all grown together; validation rows are not used."""
+    binned, train = data.binned(), "split = 'train'"
+    enough = groups_to_fit(binned.frame.where(train), group, target).select(F.col(group).cast("string").alias("lane"))
+    rows = lane_rows(binned, group, target, KEYS, f"not ({train})").where("not held")
+    return fit_lanes(rows.join(enough, "lane", "left_semi"), binned.edges, settings)
 
 
 def predict(frame, models):
@@ -157,18 +194,24 @@ def run_ablations(data, sizes):
     Each arm names its target and inputs: observed against recovered target, one model
     against one per city, with and without seasonal terms.
     """
-    train, test = data.split("train"), data.split("test")
+    test = data.split("test")
     keys = [*SERIES_KEYS, "dt"]
     arms = {
         "observed target": (data.inputs, OBSERVED),
         "recovered target": (data.inputs, RECOVERED),
         "no Fourier": ([f for f in features_without(FOURIER_PREFIXES) if f in data.inputs], RECOVERED),
     }
-    scored = test
-    for name, (inputs, target) in arms.items():
-        scored = score(fit_trees(train, inputs, target, sizes.ablation), scored, name)
-    per_city, _ = fit_trees_per_group(train, test.select(*keys, *data.inputs), "city_id", data.inputs,
-                                      RECOVERED, sizes.group, "per city")
+    data.binned()
+    whole = {name: target for name, (inputs, target) in arms.items() if inputs == data.inputs}
+    fits = [lambda: data.fit(whole, sizes.ablation, held="false", weight=None)]
+    fits += [lambda i=inputs, n=name, t=target: data.fit({n: t}, sizes.ablation, i, "false", None)
+             for name, (inputs, target) in arms.items() if name not in whole]
+    with ThreadPoolExecutor(len(fits) + 1) as pool:
+        cities = pool.submit(lambda: fit_cities(data, sizes.group))
+        models = {name: model for found in pool.map(lambda fit: fit(), fits) for name, model in found.items()}
+    scored = predict(test, models)
+    per_city = score_groups(test.select(*keys, "city_id", *[c for c in data.inputs if c != "city_id"]), cities.result(), "city_id",
+                            data.inputs, "per city")
     scored = scored.join(per_city.select(*keys, "per city"), keys, "left")
     return metrics.score_models(scored, {n: n for n in (*arms, "per city")})
 

@@ -75,10 +75,15 @@ def hourly_panel(spark, base, users_per_store=30):
         F.col("event_type"), F.to_date("ts").alias("dt"), F.hour("ts").alias("h"), "value")
     hours = range(HOURS_PER_DAY)
     is_error = F.col("event_type") == "error"
-    cells = materialize(events.groupBy("store_id", "event_type", "dt").agg(
-        F.array(*[F.count_if(F.col("h") == h) for h in hours]).alias("n_events"),
-        F.array(*[F.round(F.coalesce(F.sum(F.when(F.col("h") == h, F.col("value"))), F.lit(0.0)), 2)
-                  for h in hours]).alias("truth_hours")), "hours")
+    hourly = events.groupBy("store_id", "event_type", "dt", "h").agg(
+        F.count("*").alias("n"), F.round(F.coalesce(F.sum("value"), F.lit(0.0)), 2).alias("x"))
+    by_hour = F.map_from_entries(F.collect_list(F.struct("h", F.struct("n", "x"))))      # at most one entry per hour
+    known = hourly.where("h is not null").groupBy("store_id", "event_type", "dt").agg(by_hour.alias("known"))
+    hour = F.sequence(F.lit(0), F.lit(HOURS_PER_DAY - 1))
+    cells = materialize(known.select(
+        "store_id", "event_type", "dt",
+        F.transform(hour, lambda h: F.coalesce(F.col("known")[h]["n"], F.lit(0))).alias("n_events"),
+        F.transform(hour, lambda h: F.coalesce(F.col("known")[h]["x"], F.lit(0.0))).alias("truth_hours")), "hours")
     number = lambda h: F.get("n_events", F.lit(h))
     status = cells.groupBy("store_id", "dt").agg(F.array(*[
         (2 * F.sum(F.when(is_error, number(h)).otherwise(0)) > F.sum(number(h))).cast("int")
