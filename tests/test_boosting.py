@@ -202,3 +202,70 @@ def test_empty_and_constant_targets(spark):
     assert boosting.fit_models(binned(df.limit(0)), {"m": "y"}, PLAIN, ["id"]) == {}
     flat = boosting.fit_models(binned(df.withColumn("y", F.lit(2.0))), {"m": "y"}, PLAIN.sized(trees=3), ["id"])["m"]
     np.testing.assert_allclose(predictions(flat, found), 2.0)
+
+
+def test_attributions_add_up_and_equal_all_orders(spark):
+    """Shapley values over every order of the features, with unknown features followed by cover."""
+    from itertools import permutations
+
+    from tillcast.operators import attribution
+
+    df, found = frame(spark, 200)
+    model = boosting.fit_models(binned(df), {"m": "y"}, PLAIN.sized(trees=3, step=0.5), ["id"], weight="w")["m"]
+    x = found[INPUTS].to_numpy()[:12]
+
+    def expected(row, known, node):
+        f = model.feature[node]
+        if f < 0:
+            return model.value[node]
+        left, right = model.left[node], model.right[node]
+        if f in known:
+            return expected(row, known, left if row[f] <= model.threshold[node] else right)
+        return (model.cover[left] * expected(row, known, left) + model.cover[right] * expected(row, known, right)) / model.cover[node]
+
+    brute = np.zeros((len(x), 3))
+    for i, row in enumerate(x):
+        value = lambda known: sum(expected(row, known, r) for r in model.roots)
+        for order in permutations(range(3)):
+            for k, f in enumerate(order):
+                brute[i, f] += (value(set(order[:k + 1])) - value(set(order[:k]))) / 6
+    np.testing.assert_allclose(attribution.attribute(attribution.leaf_paths(model), x, 3), brute, atol=1e-9)
+    rows = attribution.tree_attributions(model.transform(df, "p"), model, ["id", "p"]).collect()
+    assert len(rows) == 200
+    for r in rows:
+        assert sum(r["values"]) + r["base"] == pytest.approx(r["p"])
+    top = {r.feature: r.mean_abs for r in attribution.mean_attribution(
+        attribution.tree_attributions(df, model, ["id"]), INPUTS).collect()}
+    assert max(top, key=top.get) == "a" and len(top) == 3
+
+
+def test_tree_models_are_saved_and_shuffled(spark):
+    from tillcast.operators import importance
+    from tillcast.session import shared_path
+    from tillcast.sources import models as store
+
+    df, found = frame(spark)
+    model = boosting.fit_models(binned(df), {"m": "y"}, PLAIN.sized(trees=4, step=0.5), ["id"], weight="w")["m"]
+    path = shared_path(spark, "test-models")
+    store.save_models({"xgboost": model}, path)
+    loaded = store.load_models(path)["xgboost"]
+    np.testing.assert_array_equal(predictions(loaded, found), predictions(model, found))
+    one = {r.feature: r.wape_growth for r in importance.permutation_importance(df, model, INPUTS, "y", ["id"], 90).collect()}
+    rows = df.select("id", "y", *INPUTS)
+
+    class Plain:
+        """The same model without its type, scored as any other."""
+
+        def transform(self, frame, output):
+            return model.transform(frame, output)
+
+    two = {r.feature: r.wape_growth for r in importance.permutation_importance(rows, Plain(), INPUTS, "y", ["id"], 90).collect()}
+    assert one == pytest.approx(two) and max(one, key=one.get) == "a"
+
+
+def test_fewer_rounds_take_larger_steps():
+    from tillcast.plans.training import Sizes
+
+    sizes = Sizes().within(50)
+    assert sizes.boosted.trees == 50 and sizes.boosted.step == 0.3 and sizes.boosted.depth == Sizes().boosted.depth
+    assert sizes.fine.leaves == 255 and sizes.boosted.patience == 8 and Sizes().within(10 ** 6) == Sizes()

@@ -262,6 +262,13 @@ def gbt_forecast(spark, base):
     return score(model, held_out(data)).select(*KEYS, "split", "prediction")
 
 
+def gbt_full_forecast(spark, base):
+    """The boosted model at its full size: 5000 rounds unless patience is used up before."""
+    data = prepared(spark, base)
+    model = data.fit({"m": "sale_amount_pred"}, training.BOOSTED)["m"]
+    return score(model, held_out(data)).select(*KEYS, "split", "prediction")
+
+
 def gbt_fine_forecast(spark, base):
     """The leaf-wise boosted model for both targets, and their blend."""
     data = prepared(spark, base)
@@ -370,7 +377,7 @@ QUERIES = {f.__name__: f for f in (
     feat_calendar_windows, metrics_models, metrics_all_days, metrics_per_city, metrics_validation, best_model, model_verdict,
     ablation_delta, metrics_union, blend_70_30, ridge_closed_form, stacking_ridge, stacking_folds,
     stacking_summary, knn_brute, forecaster_input, city_list, recovered_forecast, backtest_naive, backtest_ma, backtest_drift, backtest_aligned,
-    linear_attribution, top_features, report_markdown, gbt_forecast, gbt_fine_forecast, gbt_one_tree, rf_forecast,
+    linear_attribution, top_features, report_markdown, gbt_forecast, gbt_fine_forecast, gbt_one_tree, gbt_full_forecast, rf_forecast,
     ridge_forecast, per_city_models, per_city_ridge, benchmark_run, ablation_run, permutation_importance, tree_attribution_sums, tree_attribution_top,
     sampled_rows, model_inventory, held_out_features, sink_panel, sink_metrics, sink_importance, sink_report,
     sink_forecasts,
