@@ -315,6 +315,38 @@ def test_a_whole_run_is_saved_and_scores_the_same_from_disk(spark, train):
     assert store.load_models(path, ["scaler"])["scaler"] == scaler
 
 
+def test_a_run_that_fails_half_way_is_never_loaded(spark, train, monkeypatch):
+    from tillcast.operators.encoding import MedianFill, TargetEncoder
+    from tillcast.operators.ridge import ridge_from_moments
+    from tillcast.plans.training import Prepared
+
+    encoder = TargetEncoder.fit(train.withColumns({"month": F.lit(1), "y_eff": F.col("y")}), ["city_id"])
+    data = Prepared(train, encoder, MedianFill.fit(train, INPUTS), START)
+    model = lambda alpha: ridge_from_moments(train, INPUTS, "y", alpha)
+    path = shared_path(spark, "runs")
+    with pytest.raises(FileNotFoundError):
+        store.load_run(spark, path)
+    first = store.save_run(spark, data, {"ridge": model(1.0), "xgboost": model(2.0)}, path)
+    real, written = store.save_part, []
+
+    def fails(spark, part, at):
+        if len(written) == 2:
+            raise OSError("disk full")
+        written.append(at)
+        real(spark, part, at)
+
+    monkeypatch.setattr(store, "save_part", fails)
+    with pytest.raises(OSError):
+        store.save_run(spark, data, {"ridge": model(50.0), "xgboost": model(60.0)}, path)
+    monkeypatch.undo()
+    models, _ = store.load_run(spark, path)
+    assert models["ridge"].coefficients == model(1.0).coefficients
+    second = store.save_run(spark, data, {"ridge": model(50.0)}, path)
+    assert [v for v, _ in store.versions(spark, path)] == [first, second]
+    assert store.load_run(spark, path)[0]["ridge"].coefficients == model(50.0).coefficients
+    assert set(store.load_run(spark, path, first)[0]) == {"ridge", "xgboost"}
+
+
 def test_rounds_are_cut_off_without_a_second_fit(train):
     settings = trees.BOOSTED.sized(trees=12, depth=2, min_rows=1, step=0.3, rows=1.0, columns="all", patience=0)
     full = trees.fit_trees(train, INPUTS, "y", settings)
