@@ -19,14 +19,14 @@ def _brute_lines(docs):
         own = solid[i] = [(k, x.strip(" ")) for k, x in enumerate(t.split("\n")) if x.strip(" ")]
         size = min(3, len(own))
         windows += [(tuple(s for _, s in own[k:k + size]), i, k) for k in range(len(own) - size + 1) if own]
-    count, first = Counter(w for w, *_ in windows), {}
+    first = {}
     for w, i, k in sorted(windows, key=lambda x: x[1:]):
         first.setdefault(w, (i, k))
-    gone, needed = set(), set()
+    gone = set()
     for w, i, k in windows:
-        if count[w] > 1:
-            (needed if first[w] == (i, k) else gone).update((i, solid[i][k + j][0]) for j in range(len(w)))
-    return {i: "\n".join(x for k, x in enumerate(t.split("\n")) if (i, k) not in gone - needed) for i, t in docs}
+        if first[w] != (i, k):
+            gone.update((i, solid[i][k + j][0]) for j in range(len(w)))
+    return {i: "\n".join(x for k, x in enumerate(t.split("\n")) if (i, k) not in gone) for i, t in docs}
 
 
 def test_lines_against_brute_force(spark):
@@ -53,6 +53,23 @@ def test_a_repeated_passage_stays_whole_once(spark):
     assert all(out[i] == f"own {i} a\nown {i} b\nown {i} c" for i in range(1, 5))
 
 
+def test_a_short_passage_goes_from_hosts_that_have_copies(spark):
+    """Windows that mix a passage with its host occur first in the host, which does not keep the passage there."""
+    passage = [f"passage line {i}" for i in range(3)]
+    host = "\n".join(["own b a", *passage, "own b c"])
+    docs = [(0, "\n".join(["own a", *passage, "end a"])), (1, host), (2, host)]
+    out = {r.doc_id: r.text for r in lines.dedup_lines(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert out == {0: docs[0][1], 1: "own b a\nown b c", 2: ""} == _brute_lines(docs)
+
+
+def test_whole_copies_can_be_left_as_they_are(spark):
+    text = "\n".join(f"some longer line {i} of the text" for i in range(20))
+    docs = [(0, text), (1, text), (2, "x\n" + text), (3, text + "\n" + "new words " * 30), (4, None)]
+    out = {r.doc_id: r for r in lines.dedup_lines(spark.createDataFrame(docs, "doc_id long, text string"), leave=0.9).collect()}
+    assert [out[i].text for i in (0, 1, 2, 4)] == [docs[i][1] for i in (0, 1, 2, 4)]
+    assert [out[i].n_removed for i in range(5)] == [0, 0, 0, 20, 0] and out[3].text == "new words " * 30
+
+
 def test_lines_keep_other_columns_and_rows(spark, odd, none):
     out = lines.dedup_lines(odd)
     assert out.columns == [*odd.columns, "n_lines", "n_removed"]

@@ -3,8 +3,8 @@
 Every run of three consecutive lines that are not blank is a window. Windows are hashed
 (128 bits) and counted over the whole corpus; the first occurrence of a repeated window,
 by document id and place, stays and all later ones are covered. The lines that later
-windows cover are merged and removed, but for lines that the first occurrence of a
-repeated window needs, so each repeated passage stays whole once.
+windows cover are merged and removed, also where another window occurs there for the first
+time: every removed line still stands at an earlier place.
 
 All steps are DataFrame operations. A window that a third of all documents hold is summed
 up before the shuffle and joined from one row, which adaptive execution splits.
@@ -14,7 +14,7 @@ one or two lines that are not blank is one shorter window, which matches only eq
 Blank lines are never removed. A null text stays null and an empty one empty, without
 lines. A text whose lines are all covered becomes empty or blank; no row is ever dropped.
 Rows with equal id and text are one document; a null id comes first in the order. Other
-columns are kept as they are, whatever their names. An empty table gives an empty result.
+columns are kept as they are; columns named as the two counts are replaced. An empty table gives an empty result.
 """
 
 from pyspark.sql import DataFrame
@@ -45,8 +45,12 @@ def _windows(solid, size):
 
 
 def dedup_lines(documents: DataFrame, *, window: int = WINDOW, id_col="doc_id", text_col="text",
-                lines_col="n_lines", removed_col="n_removed") -> DataFrame:
-    """``documents`` with shorter texts and the numbers of lines before and removed."""
+                lines_col="n_lines", removed_col="n_removed", leave=None) -> DataFrame:
+    """``documents`` with shorter texts and the numbers of lines before and removed.
+
+    With ``leave`` a text that would lose at least this share of its characters stays as it
+    is: it is a copy as a whole, for whoever removes whole documents.
+    """
     text = F.col(text_col)
     key, mark = F.col(id_col).alias("_t_id"), F.xxhash64(text).alias("_t_text")
     cut = F.split(text, "\n", -1)
@@ -57,21 +61,24 @@ def dedup_lines(documents: DataFrame, *, window: int = WINDOW, id_col="doc_id",
     many = found.groupBy(F.col("a").alias("_a"), F.col("b").alias("_b"), F.col("size").alias("_size")).agg(
         F.min(place).alias("_from"), F.max(place).alias("_to")).where(~F.col("_from").eqNullSafe(F.col("_to")))
     again = found.join(many, (F.col("a") == F.col("_a")) & (F.col("b") == F.col("_b")) & (F.col("size") == F.col("_size")))
-    stays = place.eqNullSafe(F.col("_from"))
     span = F.explode(F.sequence(F.col("first"), F.col("first") + F.col("size") - 1)).alias("at")
-    covered = again.select("_t_id", "_t_text", stays.alias("stays"), span) \
-        .groupBy("_t_id", "_t_text", "at").agg(F.max("stays").alias("stays")).where("not stays") \
+    covered = again.where(~place.eqNullSafe(F.col("_from"))).select("_t_id", "_t_text", span).distinct() \
         .groupBy(F.col("_t_id").alias("_t_doc"), F.col("_t_text").alias("_t_same")).agg(
             F.sort_array(F.collect_list("at")).alias("_t_gone"))
     # a hash join leaves the texts unsorted; what is covered is small beside them
-    joined = documents.withColumn("_t_hash", F.xxhash64(text)).join(
-        covered.hint("shuffle_hash"), F.col(id_col).eqNullSafe(F.col("_t_doc")) & (F.col("_t_hash") == F.col("_t_same")), "left")
+    joined = documents.withColumn("_t_hash_", F.xxhash64(text)).join(
+        covered.hint("shuffle_hash"), F.col(id_col).eqNullSafe(F.col("_t_doc")) & (F.col("_t_hash_") == F.col("_t_same")), "left")
     kinds = dict(documents.dtypes)
-    columns = [F.when(F.col("_t_gone").isNull(), text).otherwise(_without(text, F.col("_t_gone"))).cast(kinds[c]).alias(c)
-               if c == text_col else F.col(f"`{c}`") for c in documents.columns]
+    left = F.when(F.col("_t_gone").isNull(), text).otherwise(_without(text, F.col("_t_gone")))
+    joined = joined.withColumn("_t_left", left)
+    stays = F.col("_t_gone").isNull()
+    if leave is not None:
+        stays = stays | (F.length("_t_left") <= (1 - leave) * F.length(text))
+    columns = [F.when(stays, text).otherwise(F.col("_t_left")).cast(kinds[c]).alias(c)
+               if c == text_col else F.col(f"`{c}`") for c in documents.columns if c not in (lines_col, removed_col)]
     breaks = F.octet_length(text) - F.octet_length(F.replace(text, F.lit("\n"), F.lit("")))
     lines = F.when(F.length(text) > 0, breaks + 1).otherwise(0).cast("long")
-    return joined.select(*columns, lines.alias(lines_col), F.when(F.col("_t_gone").isNull(), 0).otherwise(F.size("_t_gone")).cast("long").alias(removed_col))
+    return joined.select(*columns, lines.alias(lines_col), F.when(stays, 0).otherwise(F.size("_t_gone")).cast("long").alias(removed_col))
 
 
 def _without(text, gone):
@@ -107,7 +114,7 @@ ranked AS (
   SELECT *, row_number() OVER (PARTITION BY size, w ORDER BY doc_id, p) AS k, count(*) OVER (PARTITION BY size, w) AS m FROM win),
 gone AS (
   SELECT doc_id, q FROM (SELECT doc_id, k, unnest(range(p, p + size)) AS q FROM ranked WHERE m > 1)
-  GROUP BY doc_id, q HAVING min(k) > 1),
+  GROUP BY doc_id, q HAVING max(k) > 1),
 lost AS (SELECT s.doc_id, s.place FROM solid s JOIN gone g ON s.doc_id = g.doc_id AND s.p = g.q),
 kept AS (
   SELECT l.doc_id, string_agg(CASE WHEN x.place IS NULL THEN line END, chr(10) ORDER BY l.place) AS text,
