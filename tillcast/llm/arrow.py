@@ -1,10 +1,13 @@
 """Helpers for functions over Arrow batches."""
 
+from contextlib import contextmanager
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
 SLICE = 16 << 20  # bytes of text worked on at once
+FINE = 2 << 20    # the same where many columns per byte or word are held
 
 
 def slices(batches, column, size=SLICE):
@@ -19,3 +22,15 @@ def slices(batches, column, size=SLICE):
             b = max(a + 1, int(np.searchsorted(sums, sums[a] + size, side="right")) - 1)
             yield batch.slice(a, b - a)
             a = b
+
+
+@contextmanager
+def small_batches(spark, rows):
+    """Arrow batches of at most ``rows`` rows in jobs that run inside the block."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)

@@ -178,7 +178,7 @@ def find_matches(documents: DataFrame, benchmark: DataFrame, *, id_col="doc_id",
         shared = documents.sparkSession.sparkContext.broadcast(index)
 
         def match(batches, shared=shared):
-            for batch in arrow.slices(batches, "text", 8 << 20):
+            for batch in arrow.slices(batches, "text", arrow.FINE):
                 found = shared.value.matches(batch.column("text"))
                 ids = batch.column("doc_id").take(pa.array([f[0] for f in found], pa.int64()))
                 yield pa.RecordBatch.from_arrays(
@@ -196,7 +196,7 @@ def clean(documents: DataFrame, benchmark: DataFrame, *, text_col="text", item_c
         shared = documents.sparkSession.sparkContext.broadcast(index)
 
         def keep(batches, shared=shared):
-            for batch in arrow.slices(batches, text_col, 8 << 20):
+            for batch in arrow.slices(batches, text_col, arrow.FINE):
                 good = np.ones(batch.num_rows, dtype=bool)
                 good[[f[0] for f in shared.value.matches(batch.column(text_col))]] = False
                 yield batch.filter(pa.array(good))

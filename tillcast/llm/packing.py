@@ -36,6 +36,8 @@ from tillcast.session import materialize
 LENGTH = 2048
 WINDOW = 64             # sequences that one round fills
 END = 1
+SLICE = 1 << 20         # bytes of text encoded at once
+ROWS = 1000             # texts that reach a task at once
 
 TOKENS = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("source", pa.string()), ("n", pa.int64()),
                     ("ids", pa.binary())])
@@ -47,7 +49,7 @@ PIECES = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa
 def _tokens(vocabulary, end):
     def tokens(batches):
         encoder = bpe.Encoder.load(vocabulary)
-        for batch in arrow.slices(batches, "text", 4 << 20):
+        for batch in arrow.slices(batches, "text", SLICE):
             data, offsets = text.buffers(batch.column("text"))
             ids, begin = encoder.encode(data, offsets)
             n = batch.num_rows
@@ -116,8 +118,9 @@ def pack(documents: DataFrame, *, weights=None, length=LENGTH, window=WINDOW, vo
     docs = documents.select(
         F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("doc_id"),
         F.col(source_col).cast("string").alias("source"), F.col(text_col).cast("string").alias("text"))
-    tokens = materialize(docs.mapInArrow(
-        _tokens(vocabulary, end), "row long, doc_id long, source string, n long, ids binary"), "tokens")
+    with arrow.small_batches(spark, ROWS):
+        tokens = materialize(docs.mapInArrow(
+            _tokens(vocabulary, end), "row long, doc_id long, source string, n long, ids binary"), "tokens")
     per = tokens.groupBy("source").agg(F.sum("n").alias("n"), F.count("*").alias("rows"))
     size = per.agg(F.sum("n").alias("n"), F.sum("rows").alias("rows")).first()
     scale = size.n or 1

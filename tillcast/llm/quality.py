@@ -154,7 +154,7 @@ def fit(x, y, trees=TREES, depth=DEPTH, bins=BINS, rate=RATE, penalty=PENALTY):
 
 
 def _sample_statistics(batches):
-    for batch in arrow.slices(batches, "text", 8 << 20):
+    for batch in arrow.slices(batches, "text", arrow.FINE):
         found = statistics(batch.column("text"))
         yield pa.record_batch({"label": batch.column("label"), "x": pa.array(list(found), pa.list_(pa.float64()))})
 
@@ -174,7 +174,7 @@ def score(documents: DataFrame, model: Forest, *, held_out=None, id_col="doc_id"
     shared = documents.sparkSession.sparkContext.broadcast(model)
 
     def scored(batches):
-        for batch in arrow.slices(batches, "text", 8 << 20):
+        for batch in arrow.slices(batches, "text", arrow.FINE):
             found = shared.value.score(statistics(batch.column("text")))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("held_out"), pa.array(found), pa.array((found >= ACCEPT).astype(np.int32))],
@@ -191,7 +191,7 @@ def accepted(documents: DataFrame, model: Forest, *, text_col="text", least=ACCE
     shared = documents.sparkSession.sparkContext.broadcast(model)
 
     def keep(batches):
-        for batch in arrow.slices(batches, text_col, 8 << 20):
+        for batch in arrow.slices(batches, text_col, arrow.FINE):
             yield batch.filter(pa.array(shared.value.score(statistics(batch.column(text_col))) >= least))
 
     return documents.mapInArrow(keep, documents.schema)
