@@ -21,9 +21,17 @@ def good_quality(spark, docs, sf_dir):
     return quality.accepted(docs, quality.train(docs, _table(spark, sf_dir, "labels")))
 
 
+#: A document that would lose so much of its text to line dedup is a copy as a whole.
+WHOLE_COPY = 0.9
+
+
 def fresh_lines(spark, docs, sf_dir):
-    """Documents without later occurrences of repeated three-line windows; ``n_chars`` follows."""
-    found = lines.dedup_lines(docs, lines_col="_t_lines", removed_col="_t_removed")
+    """Documents without later occurrences of repeated three-line windows; ``n_chars`` follows.
+
+    Whole copies keep their lines, so that near-dedup, which comes next, sees them as they
+    are and can drop them, not an emptied or mutilated rest of them.
+    """
+    found = lines.dedup_lines(docs, lines_col="_t_lines", removed_col="_t_removed", leave=WHOLE_COPY)
     length = F.when(F.col("_t_removed") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
     return found.withColumn("n_chars", length).select([F.col(f"`{c}`") for c in docs.columns])
 
