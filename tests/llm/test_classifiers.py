@@ -158,3 +158,36 @@ def test_matches_against_a_word_by_word_automaton():
             state = follow[state, symbol[0]]
         found = toxicity.matches(pa.array([" ".join(picked)]), lexicon)[0, :8]
         assert np.allclose(found, np.log1p(total))
+
+
+def test_composition_feeds_one_transducer_to_the_next():
+    rng = np.random.default_rng(3)
+    one = toxicity.Transducer(rng.integers(0, 3, (3, 4)), rng.integers(0, 5, (3, 4)))
+    two = toxicity.Transducer(rng.integers(0, 2, (2, 5)), rng.integers(0, 7, (2, 5)))
+    both, word = toxicity.compose(one, two), rng.integers(0, 4, 200)
+    a = b = c = 0
+    for symbol in word:
+        middle = one.out[a, symbol]
+        assert both.out[c, symbol] == two.out[b, middle]
+        a, b, c = one.follow[a, symbol], two.follow[b, middle], both.follow[c, symbol]
+    follow, emit = toxicity.grammar()
+    assert len(follow) == 2 * (toxicity.REACH + 1) * 2 and set(emit.ravel()) == set(range(-1, 8))
+
+
+def test_worths_keep_their_order():
+    rng = np.random.default_rng(4)
+    x = rng.random((400, 8)) * (rng.random((400, 8)) < 0.4)
+    y = ((x[:, 2] + x[:, 3] > 0.3) | (rng.random(400) < 0.1)).astype(float)      # the sample says that negated matches count most
+    w, _ = toxicity.fit(x, y)
+    for k in (0, 4):
+        assert w[k + 1] >= w[k] >= max(w[k + 2], w[k + 3]) >= 0
+
+
+def test_the_trained_model_reads_clauses(spark, base):
+    """Not words: the same insult counts when it is addressed, and not when it is denied or reported."""
+    labels = spark.read.parquet(f"{base}/labels.parquet")
+    model = toxicity.train(spark.read.parquet(f"{base}/documents.parquet"), labels, rows=folds.fold(3) != 1)
+    texts = ["You idiot", "you are an idiot", "what an idiot you are", "he is not an idiot", "they said he is an idiot", "a fine day",
+             "she is not stupid. She is kind.", "he wrote that you are a moron"]
+    found = model.score(pa.array(texts))
+    assert (found[:3] >= 0.7).all() and (found[3:] < 0.7).all(), dict(zip(texts, found))

@@ -1,21 +1,25 @@
 """Toxicity by a weighted finite-state pattern grammar over clauses.
 
 Words are mapped to symbols: insult, threat, target, negation, reported speech, other.
-Each symbol class is a small transducer; they are composed into one table of transitions
-that reads a clause from left to right and keeps what still matters: whether a target was
-addressed, whether a negation lies within reach, and whether the clause reports what
-somebody said. On an insult or a threat the table emits a pattern, and the word's weight
-is added to that pattern. So "you are a W", "not a W" and "they said W" are different
-matches. The score is a logistic function of the weights matched per pattern.
+Three small transducers read a clause from left to right: one marks insults and threats in
+a clause that has addressed a target, one those within reach of a negation, one those in a
+clause that reports what somebody said. ``compose`` feeds each one's output to the next;
+the result is one table of transitions, which emits a pattern at each insult or threat.
+The word's weight is added to that pattern. So "you are a W", "not a W" and "they said W"
+are different matches. The score is a logistic function of the weights matched per
+pattern, and of nothing else: a word counts for no more than its clause makes of it.
 
 The insult lexicon is learned: words and word beginnings that occur in toxic documents of
 a bounded labelled sample far more often than in others, by the lower bound of their
-log-odds, beside a few seeds. What each pattern is worth is fitted on the same sample.
-Only seeds of the closed classes (pronouns, negations, verbs of saying) are given.
+log-odds, beside a few seeds. Near copies in the sample count as one document. What each
+pattern is worth is fitted on the same sample, in order: a reported or negated match is
+worth at most a plain one, and a plain one at most one with a target; where the sample says
+little, worths stay near ``PRIOR``. Only seeds of the closed classes (pronouns, negations,
+verbs of saying) are given.
 
 Undefined and edge cases: a null or empty text matches nothing and gets the score of no
-match. Without labels the seeds alone decide, with fixed worths. Texts and clauses may be
-of any length. Every row gives a row, whatever its id. Other columns are not read. An
+match. Without labels the seeds alone decide, with the prior worths. Texts and clauses may
+be of any length. Every row gives a row, whatever its id. Other columns are not read. An
 empty table gives an empty result.
 """
 
@@ -26,15 +30,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillcast.llm import arrow, labelled, text
+from tillcast.llm import arrow, labelled, minhash, text
 from tillcast.session import materialize
 
 ACCEPT = 0.7
 PREFIXES = (4, 5, 6)    # bytes of word beginnings in the lexicon
-LEAST_DOCUMENTS = 5     # toxic sample documents that an entry occurs in, at least,
-LEAST_SHARE = 0.015     # and their share of all toxic sample documents
-LEAST_ODDS = 2.0        # lower bound of an entry's log-odds
-ENTRIES = 50_000        # entries of the lexicon, at most
+LEAST_DOCUMENTS = 5     # toxic sample documents that an entry occurs in, at least
+LEAST_ODDS = 2.0        # lower bound of an entry's log-odds,
+SURE = 2.5              # so many standard deviations below them
 REACH = 3               # words that a negation reaches over
 
 SEEDS = {
@@ -55,28 +58,53 @@ _BREAK = np.zeros(256, dtype=bool)
 _BREAK[[10, 33, 46, 59, 63]] = True
 
 
+#: Marks that the small transducers put on the symbol of an insult or a threat.
+TARGETED, NEGATED, REPORTED = 6, 12, 24
+
+
+@dataclass
+class Transducer:
+    """From each state and input symbol, the next state and the output symbol; state 0 opens a clause."""
+
+    follow: np.ndarray
+    out: np.ndarray
+
+
+def compose(first, second):
+    """The transducer that feeds the output of ``first`` to ``second``."""
+    a, b = len(first.follow), len(second.follow)
+    states = np.arange(a * b)
+    here, there = states // b, states % b
+    middle = first.out[here]
+    return Transducer(first.follow[here] * b + second.follow[there[:, None], middle], second.out[there[:, None], middle])
+
+
+def _marker(states, size, mark, enter, leave=None):
+    """Marks hits while its state is not 0; a symbol of class ``enter`` leads to the last state.
+
+    Other symbols lead to ``leave`` of the state, by default to where it is.
+    """
+    symbols = np.arange(size)
+    kind = symbols % 6
+    state = np.arange(states)[:, None]
+    stay = state if leave is None else leave(state)
+    follow = np.where(kind == enter, states - 1, stay)
+    hit = (kind == INSULT) | (kind == THREAT)
+    return Transducer(follow, np.where((state > 0) & hit, symbols + mark, symbols))
+
+
 def grammar():
     """The composed transducer: next state and emitted pattern by (state, symbol); -1 emits nothing.
 
-    A state is (target seen, reported, words that the last negation still reaches over).
+    Patterns of insults are 0 plain, 1 with a target, 2 negated, 3 reported, of threats 4 more.
     """
-    def number(target, reported, reach):
-        return (target * 2 + reported) * (REACH + 1) + reach
-
-    size = number(1, 1, REACH) + 1
-    follow, emit = np.zeros((size, 6), dtype=np.int64), np.full((size, 6), -1, dtype=np.int64)
-    for target in (0, 1):
-        for reported in (0, 1):
-            for reach in range(REACH + 1):
-                here, less = number(target, reported, reach), max(reach - 1, 0)
-                for symbol in range(6):
-                    follow[here, symbol] = number(
-                        1 if symbol == TARGET else target, 1 if symbol == REPORT else reported,
-                        REACH if symbol == NEGATION else less)
-                    if symbol in (INSULT, THREAT):
-                        kind = 3 if reported else 2 if reach else 1 if target else 0
-                        emit[here, symbol] = kind + (4 if symbol == THREAT else 0)
-    return follow, emit
+    target = _marker(2, 6, TARGETED, TARGET)
+    negation = _marker(REACH + 1, 12, NEGATED, NEGATION, lambda state: np.maximum(state - 1, 0))
+    report = _marker(2, 24, REPORTED, REPORT)
+    whole = compose(compose(target, negation), report)
+    kind, marks = whole.out % 6, whole.out // 6
+    pattern = np.where(marks & 4, 3, np.where(marks & 2, 2, marks & 1))
+    return whole.follow, np.where((kind == INSULT) | (kind == THREAT), pattern + 4 * (kind == THREAT), -1)
 
 
 _FOLLOW, _EMIT = grammar()
@@ -113,12 +141,12 @@ def seeded(learned=(), weights=()):
 
 
 def matches(column, lexicon):
-    """Per text: the weight matched by each pattern, the number of matches, and matches per 100 words."""
+    """Per text the weight matched by each pattern (logarithm of one more)."""
     data, offsets = text.buffers(column)
     n = len(offsets) - 1
     hashes, docs, starts, _, heads = text.words(data, offsets, text.ALNUM, spans=True, prefixes=PREFIXES)
     symbol, weight = lexicon.look_up(hashes, heads)
-    total, count = np.zeros((n, 8)), np.zeros(n)
+    total = np.zeros((n, 8))
     hot = np.flatnonzero((symbol == INSULT) | (symbol == THREAT))
     if len(hot):
         # clauses that hold an insult or a threat, and only their symbols that change the state
@@ -138,10 +166,8 @@ def matches(column, lexicon):
             pattern = emit[state][s]
             if pattern >= 0:
                 total[d, pattern] += w
-                count[d] += 1
             state, last = follow[state][s], at
-    words = np.bincount(docs, minlength=n)
-    return np.column_stack([np.log1p(total), np.log1p(count), 100 * count / np.maximum(words, 25)])
+    return np.log1p(total)
 
 
 @dataclass
@@ -154,35 +180,43 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(matches(column, self.lexicon) @ self.worth + self.start, -30, 30)))
 
 
-#: Used when nothing could be learned: reported and negated matches count less.
-_WORTH = np.array([2.0, 2.5, 0.7, 0.7, 0.7, 2.0, 0.2, 0.2, 1.0, 0.3])
+#: Worths that the fit starts from and is drawn to: insults, then threats.
+PRIOR = np.array([2.0, 2.5, 0.3, 0.3, 1.0, 2.5, 0.2, 0.2])
+
+
+def _in_order(w):
+    """The worths with no pattern worth more than its order allows."""
+    out = np.maximum(w, 0.0)
+    for k in (0, 4):
+        if out[k] > out[k + 1]:
+            out[k] = out[k + 1] = (out[k] + out[k + 1]) / 2
+        out[k + 2:k + 4] = np.minimum(out[k + 2:k + 4], out[k])
+    return out
 
 
-def fit(x, y, rounds=60, penalty=0.05):
-    """Logistic regression by Newton steps, with worths kept from falling below zero."""
+def fit(x, y, rounds=200, penalty=0.05):
+    """Logistic regression by Newton steps on the worths, held in order after each step."""
     if not len(x) or y.min() == y.max():
-        return _WORTH, -3.5
+        return PRIOR, -3.5
     full = np.column_stack([x, np.ones(len(x))])
-    w = np.zeros(full.shape[1])
-    keep = np.append(np.ones(x.shape[1]), 0)
-    free = np.ones(len(w), dtype=bool)
+    prior, keep = np.append(PRIOR, 0.0), np.append(np.ones(x.shape[1]), 1e-3)
+    w = np.append(PRIOR, -3.5)
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(full @ w, -30, 30)))
-        grad = full.T @ (y - p) - penalty * keep * w
-        curve = (full * (p * (1 - p))[:, None]).T @ full + np.diag(penalty * keep + 1e-6)
-        step = np.zeros(len(w))
-        step[free] = np.linalg.solve(curve[np.ix_(free, free)], grad[free])
-        w = w + step / max(1.0, np.abs(step).max() / 2)
-        below = (w < 0) & (keep > 0)
-        w[below], free = 0.0, ~below
-        if np.abs(step).max() < 1e-8:
+        grad = full.T @ (y - p) - penalty * keep * (w - prior)
+        curve = (full * (p * (1 - p))[:, None]).T @ full + np.diag(penalty * keep)
+        step = np.linalg.solve(curve, grad)
+        new = w + step / max(1.0, np.abs(step).max() / 0.5)
+        new[:-1] = _in_order(new[:-1])
+        done, w = np.abs(new - w).max() < 1e-7, new
+        if done:
             break
     return w[:-1], float(w[-1])
 
 
 def _entries(batches):
     """(entry, label) of each distinct word and beginning of each sample text."""
-    for batch in arrow.slices(batches, "text", 8 << 20):
+    for batch in arrow.slices(batches, "text", arrow.FINE):
         data, offsets = text.buffers(batch.column("text"))
         hashes, docs, heads = text.words(data, offsets, text.ALNUM, prefixes=PREFIXES)
         label = batch.column("label").to_numpy(zero_copy_only=False).astype(np.int64) > 0
@@ -201,30 +235,35 @@ def _entries(batches):
 
 
 def train(documents: DataFrame, labels: DataFrame, *, rows=None, label="toxic", bound=labelled.SAMPLE) -> Model:
-    """Learn the lexicon and fit the worths, on at most ``bound`` labelled documents; copies count once."""
+    """Learn the lexicon and fit the worths, on at most ``bound`` labelled documents; near copies count as one."""
     spark = documents.sparkSession
     sample = labelled.sample(documents, labels, label, rows=rows, bound=bound).where("text is not null")
     sample = materialize(sample.groupBy(F.sha2("text", 256).alias("h")).agg(
-        F.first("text").alias("text"), F.max("label").alias("label")), "labelled")
+        F.first("text").alias("text"), F.max("label").alias("label")).withColumn("row", F.monotonically_increasing_id()), "labelled")
+    groups = minhash.near_duplicates(sample, id_col="row").select(F.col("doc_id").alias("_row"), "component_id")
+    known = materialize(sample.join(groups, F.col("row") == F.col("_row")), "grouped")
+    toxic_groups = known.groupBy(F.col("component_id").alias("_group")).agg(F.max("label").alias("label"))
+    sample = materialize(known.where(F.col("row") == F.col("component_id")).select("component_id", "text").join(
+        toxic_groups, F.col("component_id") == F.col("_group")).select("text", "label"), "samples")
     size = sample.agg(F.sum(F.when(F.col("label") > 0, 1).otherwise(0)).alias("toxic"), F.count("*").alias("all")).first()
     toxic, clean = size.toxic or 0, size.all - (size.toxic or 0)
     counted = sample.select("text", "label").mapInArrow(_entries, "entry long, toxic long, clean long").groupBy("entry").agg(
         F.sum("toxic").alias("a"), F.sum("clean").alias("b"))
     odds = F.log((F.col("a") + 0.5) / (toxic + 1)) - F.log((F.col("b") + 0.5) / (clean + 1)) \
-        - 1.64 * F.sqrt(1 / (F.col("a") + 0.5) + 1 / (F.col("b") + 0.5))
-    # words of a group of near copies are too few for the share, however sure their odds look
-    found = counted.where(F.col("a") >= max(LEAST_DOCUMENTS, LEAST_SHARE * toxic)).select("entry", odds.alias("weight")) \
-        .where(F.col("weight") >= LEAST_ODDS).orderBy(F.desc("weight"), "entry").limit(ENTRIES).toPandas()
+        - SURE * F.sqrt(1 / (F.col("a") + 0.5) + 1 / (F.col("b") + 0.5))
+    # the sample bounds the entries, so none is left out
+    found = counted.where(F.col("a") >= LEAST_DOCUMENTS).select("entry", odds.alias("weight")) \
+        .where(F.col("weight") >= LEAST_ODDS).orderBy(F.desc("weight"), "entry").toPandas()
     lexicon = seeded(found["entry"].to_numpy(dtype=np.int64).view(np.uint64), found["weight"])
     shared = spark.sparkContext.broadcast(lexicon)
 
     def matched(batches):
-        for batch in arrow.slices(batches, "text", 8 << 20):
+        for batch in arrow.slices(batches, "text", arrow.FINE):
             x = matches(batch.column("text"), shared.value)
             yield pa.record_batch({"label": batch.column("label"), "x": pa.array(list(x), pa.list_(pa.float64()))})
 
     pairs = sample.select("text", "label").mapInArrow(matched, "label int, x array<double>").toPandas()
-    x = np.array(pairs["x"].tolist(), dtype=np.float64).reshape(-1, len(_WORTH))
+    x = np.array(pairs["x"].tolist(), dtype=np.float64).reshape(-1, len(PRIOR))
     y = (pairs["label"].to_numpy(dtype=np.int64) > 0).astype(np.float64)
     order = np.lexsort((*x.T, y))
     return Model(lexicon, *fit(x[order], y[order]))
@@ -235,7 +274,7 @@ def score(documents: DataFrame, model: Model, *, held_out=None, id_col="doc_id",
     shared = documents.sparkSession.sparkContext.broadcast(model)
 
     def scored(batches):
-        for batch in arrow.slices(batches, "text", 8 << 20):
+        for batch in arrow.slices(batches, "text", arrow.FINE):
             found = shared.value.score(batch.column("text"))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("held_out"), pa.array(found), pa.array((found >= ACCEPT).astype(np.int32))],
