@@ -92,9 +92,6 @@ def forecast_with(inputs, function, schema):
 
 
 def align(df, forecasts, names, series="series_id", date=DATE):
-    """Bring forecasts to the panel rows of their series and day; others get NULL.
-
-    The forecast days select the panel rows, so only those days meet the join.
-    """
+    """Bring forecasts to the panel rows of their series and day; others get NULL."""
     keyed = forecasts.select(F.col("unique_id").alias(series), F.col("ds").alias(date), *names)
     return df.join(keyed, [series, date], "left")
