@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from tillcast.llm import (
-    codes, decontam, embeddings, folds, langid, lines, lm, minhash, packing, quality, sharding, substrings,
+    codes, decontam, embeddings, folds, langid, lines, lm_blocks, minhash, packing, quality, sharding, substrings,
     toxicity, trie,
 )
 
@@ -27,7 +27,7 @@ def op3_naive_bayes_language(spark, base):
 
 def op4_backoff_automaton(spark, base):
     docs, fold = _table(spark, base, "documents"), folds.fold(5)
-    return lm.score(docs, lm.train(docs.where(fold != 1)), held_out=fold == 1)
+    return lm_blocks.score_corpus(docs, fold != 1, held_out=fold == 1)
 
 
 def op5_mixture_packing(spark, base):
