@@ -1,3 +1,5 @@
+import types
+
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -18,14 +20,14 @@ def test_packed_columns_come_back():
         assert np.array_equal(a, b)
 
 
-@pytest.mark.parametrize("block, part, hot", [(1 << 20, 1 << 20, 1 << 19), (97, 50, 40), (7, 200, 3)])
-def test_scores_match_a_model_of_dictionaries(spark, block, part, hot):
+@pytest.mark.parametrize("block, part, hot, frequent", [(1 << 20, 1 << 20, 1 << 19, 1 << 20), (97, 50, 40, 90), (7, 200, 3, 0)])
+def test_scores_match_a_model_of_dictionaries(spark, block, part, hot, frequent):
     """Whole, in small blocks that cut texts, and with most middle words dealt over many parts."""
     texts = [*_docs(0), "never seen w1 w2 w1", "", "w3", "w1 w1 w1 w1 " * 40]
     train = [t for i, t in enumerate(texts) if i % 5 != 1]
     model = _Backoff(train, lm.ORDER, 1e-9)
     rows = lm_blocks.score_corpus(_frame(spark, texts), F.col("doc_id") % 5 != 1, held_out=F.col("doc_id") % 5 == 1,
-                                  block=block, part=part, hot=hot).collect()
+                                  block=block, part=part, hot=hot, frequent=frequent).collect()
     assert sorted(r.doc_id for r in rows) == list(range(len(texts)))
     for r in rows:
         tokens = texts[r.doc_id].encode().lower().split() + [END]
@@ -60,8 +62,9 @@ def test_a_block_is_scored_by_the_traversal(spark, monkeypatch):
         return model
 
     real = lm_blocks.automaton
-    full = lm_blocks._walk(1, 1, 10, 14.0, 0.5)
-    tables = _one_block(asked, spark)
+    shared = types.SimpleNamespace(value=np.zeros(0, dtype=np.int64))
+    full = lm_blocks._walk(shared, 1, 10, 14.0, 0.5)
+    tables = _one_block(asked, shared)
     before = full(*tables).to_pydict()
     monkeypatch.setattr(lm_blocks, "automaton", empty)
     after = full(*tables).to_pydict()
@@ -69,15 +72,15 @@ def test_a_block_is_scored_by_the_traversal(spark, monkeypatch):
     assert all(a > b for a, b in zip(before["walk"], after["walk"]))
 
 
-def _one_block(docs, spark):
+def _one_block(docs, shared):
     """A block and all answers to it; 12 tokens of 3 words make the denominator 14."""
     rows = docs.coalesce(1).select(F.col("doc_id").alias("row"), "doc_id", F.lit(False).alias("held_out"), F.lit(True).alias("learn"),
                                    "text")
     block = rows.mapInArrow(lm_blocks._blocks(1000), lm_blocks._BLOCKS).toArrow()
     asked = pa.Table.from_batches(lm_blocks._ask_words(1)(block.select(["block", "words"]).to_batches()))
     key = (pa.scalar(0),)
-    words = lm_blocks._count_words(1)(key, asked)
-    grams = lm_blocks._count_grams(14.0, 0.5)(key, lm_blocks._ask_grams(1, 1, 10)(block, words))
+    words = lm_blocks._count_words(1, 0)(key, asked)
+    grams = lm_blocks._count_grams(shared, 14.0, 0.5)(key, lm_blocks._ask_grams(shared, 1, 10)(block, words))
     return block, pa.concat_tables([words, grams])
 
 

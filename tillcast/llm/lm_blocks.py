@@ -14,8 +14,9 @@ answer holds values only, in the order in which the block asked.
 
 The n-grams of a middle word with more than ``HOT`` training tokens are dealt over up to
 ``SALTS`` parts by their last word. Counts of n-grams stay whole there; the sums over the arcs of
-a context are asked of every part and added by the block. Nothing is dropped, and no table of
-n-grams is written.
+a context that may lack one are asked of every part and added by the block. Nothing is dropped,
+and no table of n-grams is written. Counts of the ``FREQUENT`` commonest words, at most, are
+broadcast; the others travel with the questions.
 
 The model, and its undefined and edge cases, are those of ``lm``, with order 3. A text longer than
 a block continues in the next one, which first reads the two words before; its parts are added
@@ -34,15 +35,16 @@ from tillcast.session import materialize
 
 BLOCK = 1 << 20         # tokens of a block, at most
 SLICE = 6 << 20         # bytes of text read at once
-PART = 1 << 20          # n-grams that one part answers, about
+PART = 3 << 18          # n-grams that one part answers, about
 HOT = 1 << 19           # training tokens from which a middle word is dealt over several parts
 SALTS = 64
+FREQUENT = 1 << 20      # words whose counts are broadcast, at most
 _NONE, _ASK = 0, 1      # in place of a word: no word before; a question for a context's sums
 _SHIFT = 2
 
 _BLOCKS = ("block long, tokens long, learned long, distinct long, words binary, ids binary, pieces binary, "
            "rows array<long>, doc_ids array<long>, held array<boolean>")
-_ANSWER = "block long, kind int, part int, fresh long, data binary"
+_ANSWER = "block long, kind int, part int, fresh long, top binary, data binary"
 
 
 def pack(*columns):
@@ -116,14 +118,10 @@ def _listed(column):
     return pa.ListArray.from_arrays(pa.array([0, len(column)], pa.int32()), column)
 
 
-def _by_part(part, parts):
-    """The entries in order of their part, and the first entry of each part (parts + 1)."""
-    rank = np.argsort(part, kind="stable")
-    return rank, np.searchsorted(part[rank], np.arange(parts + 1))
-
-
-def _word_parts(words, parts):
-    return (text.mix(words.copy()) % np.uint64(parts)).astype(np.int64)
+def _word_runs(words, parts):
+    """The first of the sorted words in each part (parts + 1); a part is a range of hashes."""
+    part = ((words >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+    return np.searchsorted(part, np.arange(parts + 1))
 
 
 def _ask_words(parts):
@@ -132,8 +130,8 @@ def _ask_words(parts):
             for block, data in zip(batch.column("block").to_pylist(), batch.column("words")):
                 steps, counts = unpack(data.as_py())
                 words = np.cumsum(steps, dtype=np.uint64)
-                rank, runs = _by_part(_word_parts(words, parts), parts)
-                rows = [(p, pack(_steps(words[rank[a:b]]), counts[rank[a:b]]))
+                runs = _word_runs(words, parts)
+                rows = [(p, pack(_steps(words[a:b]), counts[a:b]))
                         for p, (a, b) in enumerate(zip(runs[:-1], runs[1:])) if b > a]
                 yield pa.record_batch({"block": pa.array([block] * len(rows), pa.int64()),
                                        "part": pa.array([p for p, _ in rows], pa.int32()),
@@ -142,26 +140,34 @@ def _ask_words(parts):
     return ask
 
 
-def _answers(blocks, kind, part, fresh, data):
+def _answers(blocks, kind, part, data, fresh=0, top=None):
     n = len(blocks)
     return pa.table({"block": pa.array(blocks, pa.int64()), "kind": pa.array([kind] * n, pa.int32()),
-                     "part": pa.array([part] * n, pa.int32()),
-                     "fresh": pa.array([fresh] + [0] * (n - 1), pa.int64()), "data": pa.array(data, pa.binary())})
+                     "part": pa.array([part] * n, pa.int32()), "fresh": pa.array([fresh] + [0] * (n - 1), pa.int64()),
+                     "top": pa.array([top] + [None] * (n - 1), pa.binary()), "data": pa.array(data, pa.binary())})
+
 
+def _count_words(parts, frequent):
+    """Answers the number of each word, and its count unless it is broadcast.
 
-def _count_words(parts):
-    """Answers count and number of each word. Frequent words get small numbers; ``fresh``: the part's learned words."""
+    Frequent words get small numbers. ``fresh``: the part's learned words; ``top``: the counts to be broadcast.
+    """
     def count(key, table):
         asked = [unpack(x) for x in table.column("data").to_pylist()]
         words = np.concatenate([np.cumsum(s, dtype=np.uint64) for s, _ in asked])
         found, at = np.unique(words, return_inverse=True)
         n = np.bincount(at, np.concatenate([c for _, c in asked]).astype(np.float64)).astype(np.int64)
         number = np.empty(len(found), dtype=np.int64)
-        number[np.argsort(-n, kind="stable")] = np.arange(len(found))
+        order = np.argsort(-n, kind="stable")
+        number[order] = np.arange(len(found))
+        rare = number >= frequent // parts
         number = number * parts + key[0].as_py()
-        ends = np.cumsum([len(s) for s, _ in asked])
-        return _answers(table.column("block").to_pylist(), 0, key[0].as_py(), int((n > 0).sum()),
-                        [pack(n[at[e - len(s):e]], number[at[e - len(s):e]]) for e, (s, _) in zip(ends, asked)])
+        data, end = [], 0
+        for steps, _ in asked:
+            own, end = at[end:end + len(steps)], end + len(steps)
+            data.append(pack(number[own], n[own[rare[own]]]))
+        return _answers(table.column("block").to_pylist(), 0, key[0].as_py(), data, int((n > 0).sum()),
+                        pack(n[order[:frequent // parts]]))
 
     return count
 
@@ -173,22 +179,21 @@ class _Asked:
     (middle, last, first), first = ``_NONE`` at the second word of a text, last = ``_ASK`` for the sums of a context.
     """
 
-    def __init__(self, block, answers, word_parts, parts, hot):
-        steps, _ = unpack(block["words"])
-        words = np.cumsum(steps, dtype=np.uint64)
-        rank, runs = _by_part(_word_parts(words, word_parts), word_parts)
-        n, number = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
-        for part, data in answers:
-            at = rank[runs[part]:runs[part + 1]]
-            n[at], number[at] = unpack(data)
+    def __init__(self, block, answers, common, parts, hot):
+        n, number = [], []
+        for _, data in sorted(answers):     # parts are ranges of the block's sorted words
+            numbers, counts = unpack(data)
+            number.append(numbers.astype(np.int64))
+            n.append(_with_common(number[-1], counts, common))
+        n, number = np.concatenate(n), np.concatenate(number)
         order = np.argsort(number)
-        self.n, self.number = n[order], number[order]
-        place = np.empty(len(words), dtype=np.int64)
-        place[order] = np.arange(len(words))
+        self.n, self.number, self.common = n[order], number[order], len(common)
+        place = np.empty(len(order), dtype=np.int64)
+        place[order] = np.arange(len(order))
         self.ids = place[unpack(block["ids"])[0].astype(np.int64)]
         self.begin, self.leads, self.learn = (x.astype(np.int64) for x in unpack(block["pieces"]))
         self.begin = np.append(self.begin, len(self.ids))
-        self.size = len(words) + _SHIFT
+        self.size = len(order) + _SHIFT
         length = np.diff(self.begin)
         nth = np.arange(len(self.ids)) - np.repeat(self.begin[:-1], length)
         taught = np.repeat(self.learn, length) * (nth >= np.repeat(self.leads, length))
@@ -204,8 +209,8 @@ class _Asked:
         home = text.mix(self.number.astype(np.uint64) * np.uint64(2 * SALTS + 1))
         mixed = text.mix(self.number.astype(np.uint64) + np.uint64(1))
         salt = mixed[last - _SHIFT] % salts[middle - _SHIFT].astype(np.uint64)
-        # contexts of dealt middle words ask every part for their sums
-        dealt = np.flatnonzero(salts[middle - _SHIFT] > 1)
+        # contexts of dealt middle words that may lack an arc ask every part for their sums
+        dealt = np.flatnonzero((salts[middle - _SHIFT] > 1) & (counts == 0))
         context = np.unique(np.concatenate([middle[dealt] * self.size + first[dealt], middle[dealt] * self.size + _NONE]))
         many = salts[context // self.size - _SHIFT]
         context = np.repeat(context, many)
@@ -226,44 +231,57 @@ class _Asked:
                 used, at = np.unique(np.concatenate([x[a:b] for x in (self.middle, self.last, self.first)]), return_inverse=True)
                 middle, last, first = at.reshape(3, -1)
                 words = used[used >= _SHIFT] - _SHIFT
-                yield part, pack(np.append(np.isin([_NONE, _ASK], used), [0]), _steps(self.number[words]), self.n[words],
+                number = self.number[words]
+                yield part, pack(np.isin([_NONE, _ASK], used), _steps(number), self.n[words[number >= self.common]],
                                  _steps(middle), last, first, self.counts[a:b])
 
     def contexts(self, a, b):
-        """Of one part's questions: pairs, contexts with those that lack a sure arc, middle words likewise."""
+        """Of one part's questions: pairs, then the contexts and the middle words that may lack an arc."""
         middle, last, first = self.middle[a:b], self.last[a:b], self.first[a:b]
         open_ = self.counts[a:b] == 0
-        pairs = np.unique(middle * self.size + last)
-        context = middle * self.size + first
-        return pairs, np.unique(context), np.unique(context[open_]), np.unique(middle[open_])
+        return (np.unique(middle * self.size + last), np.unique(middle[open_] * self.size + first[open_]),
+                np.unique(middle[open_]))
+
 
+def _with_common(number, sent, common):
+    """The count of each number: broadcast, or sent in the order of the numbers."""
+    known = number < len(common)
+    n = np.empty(len(number), dtype=np.int64)
+    n[known] = common[number[known]]
+    n[~known] = sent
+    return n
 
-def _count_grams(denominator, discount):
+
+def _count_grams(shared, denominator, discount):
     """Answers, for each question of a part, the counts and sums over the whole corpus."""
     def count(key, table):
-        asked = [unpack(x) for x in table.column("data").to_pylist()]
-        numbers = [np.cumsum(x[1]).astype(np.int64) + _SHIFT for x in asked]
-        own = [np.concatenate([np.flatnonzero(x[0][:2]), n]).astype(np.int64) for x, n in zip(asked, numbers)]
-        used, at = np.unique(np.concatenate([[_NONE, _ASK], *own]), return_inverse=True)
+        columns, words, times = [[] for _ in range(4)], [], []
+        for x in table.column("data").to_pylist():
+            none, steps, sent, *entries = unpack(x)
+            number = np.cumsum(steps).astype(np.int64)
+            # a question's numbers become places in this list of words, later in the part's
+            words.append(np.concatenate([np.flatnonzero(none), number + _SHIFT]))
+            times.append(np.append(np.zeros(int(none.sum()), np.int64), _with_common(number, sent, shared.value)))
+            entries[0] = np.cumsum(entries[0])
+            for column, entry in zip(columns, entries):
+                column.append(entry.astype(np.int32))
+        used, at = np.unique(np.concatenate([[_NONE, _ASK], *words]), return_inverse=True)
         size = len(used)
         times_of = np.zeros(size, dtype=np.int64)
-        at, ends = at[2:], np.cumsum([len(o) for o in own])
-        middle, last, first = [], [], []
-        for x, o, e in zip(asked, own, ends):
-            local = at[e - len(o):e]
-            times_of[local[len(o) - len(x[2]):]] = x[2]
-            middle.append(local[np.cumsum(x[3]).astype(np.int64)])
-            last.append(local[x[4].astype(np.int64)])
-            first.append(local[x[5].astype(np.int64)])
-        cuts = np.cumsum([0, *(len(m) for m in middle)])
-        middle, last, first = (np.concatenate(x) for x in (middle, last, first))
+        times_of[at[2:]] = np.concatenate(times)
+        ends = np.cumsum([2, *(len(w) for w in words)])
+        cuts = np.cumsum([0, *(len(c) for c in columns[0])])
+        middle, last, first = (np.concatenate([at[e:][c] for e, c in zip(ends, column)]) for column in columns[:3])
+        counts = np.concatenate(columns[3])
+        del columns, words, times, used, at
         pairs, pair = np.unique(middle * size + last, return_inverse=True)
         del middle, last
         grams, gram = np.unique(pair * size + first, return_inverse=True)
         del pair, first
-        counts = np.concatenate([x[6] for x in asked])
-        n3 = np.bincount(gram, counts.astype(np.float64), minlength=len(grams)).astype(np.int64)
-        of = grams // size
+        gram = gram.astype(np.int32)
+        n3 = np.bincount(gram, counts, minlength=len(grams)).astype(np.int64)
+        of, before = grams // size, grams % size
+        del grams
         n2 = np.bincount(of, n3, minlength=len(pairs)).astype(np.int64)
         head, word = pairs // size, pairs % size
         arcs2 = n2 > 0
@@ -271,20 +289,18 @@ def _count_grams(denominator, discount):
         many1 = np.bincount(head, arcs2, minlength=size).astype(np.int64)
         rest1 = np.bincount(head, p1 * arcs2, minlength=size)
         p2 = (n2 - discount) / np.maximum(times_of[head], 1)
-        contexts, context = np.unique(head[of] * size + grams % size, return_inverse=True)
-        arcs3 = (n3 > 0) & (grams % size != _NONE)
-        times = np.bincount(context, n3 * arcs3, minlength=len(contexts)).astype(np.int64)
+        arcs3 = (n3 > 0) & (before != _NONE)
+        contexts, context = np.unique(head[of] * size + before, return_inverse=True)
         many = np.bincount(context, arcs3, minlength=len(contexts)).astype(np.int64)
         rest = np.bincount(context, p2[of] * arcs3, minlength=len(contexts))
+        del p1, p2, arcs2, arcs3, contexts, before
         data = []
         for a, b in zip(cuts[:-1], cuts[1:]):
             g = gram[a:b]
-            open_ = counts[a:b] == 0
-            pair = np.unique(of[g])
-            closed, asking = np.unique(context[g]), np.unique(context[g[open_]])
-            heads = np.unique(head[of[g[open_]]])
-            data.append(pack(n3[g], n2[pair], times[closed], many[asking], rest[asking], many1[heads], rest1[heads]))
-        return _answers(table.column("block").to_pylist(), 1, key[0].as_py(), 0, data)
+            open_ = g[counts[a:b] == 0]
+            pair, asking, heads = np.unique(of[g]), np.unique(context[open_]), np.unique(head[of[open_]])
+            data.append(pack(n3[g], n2[pair], many[asking], rest[asking], many1[heads], rest1[heads]))
+        return _answers(table.column("block").to_pylist(), 1, key[0].as_py(), data)
 
     return count
 
@@ -295,16 +311,15 @@ def automaton(asked, answers, denominator, discount=lm.DISCOUNT):
     n3 = np.zeros(len(asked.middle), dtype=np.int64)
     n2 = np.zeros(len(asked.pairs), dtype=np.int64)
     contexts = np.unique(asked.middle * size + asked.first)
-    times, many, rest = np.zeros(len(contexts), np.int64), np.zeros(len(contexts), np.int64), np.zeros(len(contexts))
+    many, rest = np.zeros(len(contexts), np.int64), np.zeros(len(contexts))
     many1, rest1 = np.zeros(size, dtype=np.int64), np.zeros(size)
     for part, data in answers:
         a, b = int(asked.runs[part]), int(asked.runs[part + 1])
-        pairs, own, open_, heads = asked.contexts(a, b)
-        counts, seen, total, m, r, m1, r1 = unpack(data)
+        pairs, open_, heads = asked.contexts(a, b)
+        counts, seen, m, r, m1, r1 = unpack(data)
         n3[a:b] = counts
         real = pairs % size != _ASK
         n2[np.searchsorted(asked.pairs, pairs[real])] = seen[real]
-        times[np.searchsorted(contexts, own)] += total.astype(np.int64)
         at = np.searchsorted(contexts, open_)
         many[at] += m.astype(np.int64)
         rest[at] += r
@@ -322,10 +337,10 @@ def automaton(asked, answers, denominator, discount=lm.DISCOUNT):
     state[found] = 1 + words + np.arange(len(found))
     head, word = asked.pairs[found] // size - _SHIFT, asked.pairs[found] % size - _SHIFT
     model.fail = np.concatenate([np.zeros(1 + words, np.int64), 1 + word])
-    # what follows a pair is known by the pair's own key: its last word is the middle one
-    key = (word + _SHIFT) * size + head + _SHIFT
-    at = lm._find(contexts, key, True)
-    after = np.where(at >= 0, backoff(many[at], times[at], rest[at]) if len(contexts) else 0.0, 0.0)
+    # of what follows a pair its last word is the middle one; each word but a text's last has one after it,
+    # so a pair occurs as often as all its arcs
+    at = lm._find(contexts, (word + _SHIFT) * size + head + _SHIFT, True)
+    after = np.where(at >= 0, backoff(many[at], n2[found], rest[at]) if len(contexts) else 0.0, 0.0)
     model.backoff = np.concatenate([[0.0], backoff(many1[_SHIFT:], asked.n, rest1[_SHIFT:]), after])
     arcs = [(1 + head) * words + word]
     weight = [np.log10((n2[found] - discount) / asked.n[head])]
@@ -335,9 +350,8 @@ def automaton(asked, answers, denominator, discount=lm.DISCOUNT):
     source = lm._find(asked.pairs, first * size + middle, True)
     known = (source >= 0) & (state[source] >= 0) if len(source) else np.zeros(0, dtype=bool)
     three, middle, last, first, source = (x[known] for x in (three, middle, last, first, source))
-    total = times[np.searchsorted(contexts, middle * size + first)]
     arcs.append(state[source] * words + last - _SHIFT)
-    weight.append(np.log10((n3[three] - discount) / total))
+    weight.append(np.log10((n3[three] - discount) / n2[source]))
     target.append(state[np.searchsorted(asked.pairs, middle * size + last)])
     arcs, weight, target = (np.concatenate(x) for x in (arcs, weight, target))
     rank = np.argsort(arcs)
@@ -355,10 +369,10 @@ def _split(table, kind):
     return list(zip(found.column("part").to_pylist(), found.column("data").to_pylist()))
 
 
-def _ask_grams(word_parts, parts, hot):
+def _ask_grams(shared, parts, hot):
     def ask(left, right):
         block = _read(left)
-        rows = list(_Asked(block, _split(right, 0), word_parts, parts, hot).questions()) if block else []
+        rows = list(_Asked(block, _split(right, 0), shared.value, parts, hot).questions()) if block else []
         return pa.table({"block": pa.array([block["block"] if block else 0] * len(rows), pa.int64()),
                          "part": pa.array([p for p, _ in rows], pa.int32()),
                          "data": pa.array([d for _, d in rows], pa.binary())})
@@ -370,12 +384,12 @@ _PIECES = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("held_out", p
                      ("n_known", pa.int64()), ("base", pa.float64()), ("walk", pa.float64())])
 
 
-def _walk(word_parts, parts, hot, denominator, discount):
+def _walk(shared, parts, hot, denominator, discount):
     def walk(left, right):
         block = _read(left)
         if not block:
             return _PIECES.empty_table()
-        asked = _Asked(block, _split(right, 0), word_parts, parts, hot)
+        asked = _Asked(block, _split(right, 0), shared.value, parts, hot)
         model = automaton(asked, _split(right, 1), denominator, discount)
         length = np.diff(asked.begin)
         owner = np.repeat(np.arange(len(length)), length)
@@ -393,8 +407,17 @@ def _walk(word_parts, parts, hot, denominator, discount):
     return walk
 
 
+def _common(words, parts):
+    """Counts by number of the words below the bound, from one row of each part."""
+    tops = {r.part: unpack(r.top)[0] for r in words.where("top is not null").select("part", "top").collect()}
+    table = np.zeros((max((len(t) for t in tops.values()), default=0), parts), dtype=np.int64)
+    for part, top in tops.items():
+        table[:len(top), part] = top
+    return table.reshape(-1)
+
+
 def score_corpus(documents: DataFrame, learn, *, held_out=None, id_col="doc_id", text_col="text", block=BLOCK, part=PART,
-                 hot=HOT, discount=lm.DISCOUNT) -> DataFrame:
+                 hot=HOT, frequent=FREQUENT, discount=lm.DISCOUNT) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row.
 
     ``learn`` is a condition on the rows to learn from. ``block``: tokens of a block; ``part``: n-grams of a part.
@@ -409,18 +432,20 @@ def score_corpus(documents: DataFrame, learn, *, held_out=None, id_col="doc_id",
                       F.sum("distinct").alias("words")).first()
     word_parts, parts = 1 + (size.words or 0) // part, 1 + (size.tokens or 0) // part
     tasks = max(1, min(size.blocks, 64), size.blocks // 8)
-    cut = blocks.repartition(tasks, "block")
+    cut = blocks.drop("words", "tokens", "learned", "distinct").repartition(tasks, "block")
     asked = blocks.select("block", "words").mapInArrow(_ask_words(word_parts), "block long, part int, data binary")
     words = materialize(
-        asked.repartition(word_parts, "part").groupBy("part").applyInArrow(_count_words(word_parts), _ANSWER), "words")
+        asked.repartition(word_parts, "part").groupBy("part").applyInArrow(_count_words(word_parts, frequent), _ANSWER), "words")
     distinct = words.agg(F.sum("fresh").alias("n")).first().n or 0
     denominator = (size.learned or 0) + 0.5 * (distinct + 1)
+    shared = spark.sparkContext.broadcast(_common(words, word_parts))
+    words = words.select("block", "kind", "part", "data")
     asked = cut.groupBy("block").cogroup(words.repartition(tasks, "block").groupBy("block")).applyInArrow(
-        _ask_grams(word_parts, parts, hot), "block long, part int, data binary")
-    grams = asked.repartition(parts, "part").groupBy("part").applyInArrow(_count_grams(denominator, discount), _ANSWER)
-    answers = words.unionByName(grams).repartition(tasks, "block")
+        _ask_grams(shared, parts, hot), "block long, part int, data binary")
+    grams = asked.repartition(parts, "part").groupBy("part").applyInArrow(_count_grams(shared, denominator, discount), _ANSWER)
+    answers = words.unionByName(grams.select(words.columns)).repartition(tasks, "block")
     pieces = cut.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
-        _walk(word_parts, parts, hot, denominator, discount),
+        _walk(shared, parts, hot, denominator, discount),
         "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, walk double")
     return pieces.groupBy("row").agg(
         F.first("doc_id").alias("doc_id"), F.first("held_out").alias("held_out"), F.sum("n_tokens").alias("n_tokens"),
