@@ -1,6 +1,9 @@
+import sys
+import unicodedata
 import zlib
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -48,6 +51,18 @@ def test_language_edge_cases(spark, odd, none):
     assert {r.lang_pred for r in langid.predict(odd, langid.train(none)).collect()} == {"und"}
 
 
+def test_every_letter_gets_a_learned_language_and_nothing_else_does(spark):
+    """One text per letter of Unicode, and texts of marks, digits, symbols and spaces alone."""
+    learned = spark.createDataFrame([("abc", "x"), ("жук", "y")], "text string, lang string")
+    model = langid.train(learned)
+    letters = [chr(i) for i in range(sys.maxunicode + 1) if unicodedata.category(chr(i))[0] == "L"]
+    others = ["²", "\u0301", "१", "Ⅷ", "—", "…", "€", "😀", "1 2", "\u2028", "\u3000", "ⓐ"]
+    rows = spark.createDataFrame(pd.DataFrame({"doc_id": range(len(letters) + len(others)), "text": letters + others}))
+    found = langid.predict(rows, model).toPandas().sort_values("doc_id")["lang_pred"].tolist()
+    assert len(letters) > 100_000 and set(found[:len(letters)]) <= {"x", "y"}
+    assert set(found[len(letters):]) == {"und"}
+
+
 def test_language_counts_and_scores_match_python(spark):
     docs = spark.createDataFrame([(1, "Ab, c", "x"), (2, "ba b", "y"), (3, "Abc", None)], "doc_id long, text string, lang string")
     langs, logs = langid.train(docs, buckets=1 << 12)

@@ -7,13 +7,17 @@ them. The matrix of log-probabilities, languages times buckets, is broadcast (it
 checked) and texts are scored in batches, as sums of gathered rows over each text.
 
 Undefined and edge cases: a null text, or one without any letter, is ``und`` with score 0.
-So is every text when nothing could be learned. Texts without a language are not learned
+So is every text when nothing could be learned. Letters are Unicode's; every other text gets a learned language. Texts without a language are not learned
 from. Equal scores go to the language that is first in alphabetical order. The score is
 the posterior probability of the predicted language, with equal priors, over the mean of
 the text's n-grams times ``evidence``. Repeated rows are scored one by one; every row
 gives a row, whatever its id. An empty table gives an empty result.
 """
 
+import sys
+import unicodedata
+from functools import cache
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -46,19 +50,31 @@ def characters(data):
     return np.where(upper, code + np.uint32(32), code), at
 
 
-def _letters(code):
-    """Other characters than letters become a space; above Latin-1 all but general punctuation count."""
+@cache
+def _is_letter():
+    """Which code points are letters of Unicode."""
+    return np.array([unicodedata.category(chr(i))[0] == "L" for i in range(sys.maxunicode + 1)])
+
+
+def _letters(code, true):
+    """Other characters than letters become a space; ``true`` letters count, and above Latin-1 all but general punctuation."""
     letter = ((code >= 97) & (code <= 122)) | ((code >= 0xAA) & (code != 0xD7) & (code != 0xF7) & (code != 0xAB) & (code != 0xBB))
     letter &= ~((code >= 0x2000) & (code <= 0x2BFF)) & ~((code >= 0x3000) & (code <= 0x303F))
-    return np.where(letter, code, np.uint32(32))
+    return np.where(letter | true, code, np.uint32(32))
+
 
+def grams(data, offsets, orders=ORDERS, buckets=BUCKETS, lettered=None):
+    """Blocks of (bucket, text) of all n-grams of all texts; blocks end between words.
 
-def grams(data, offsets, orders=ORDERS, buckets=BUCKETS):
-    """Blocks of (bucket, text) of all n-grams of all texts; blocks end between words."""
+    ``lettered``, an array of one flag per text, is set for the texts that hold a letter.
+    """
     for a, b in text.blocks(data, offsets, text.PLAIN, _PART):
         code, at = characters(data[a:b])
         owner = np.searchsorted(offsets, at + a, side="right") - 1
-        code = _letters(code)
+        true = _is_letter()[code]
+        if lettered is not None:
+            lettered[owner[true]] = True
+        code = _letters(code, true)
         keep = np.ones(len(code), dtype=bool)  # one space for a run of them
         keep[1:] = (code[1:] != 32) | (code[:-1] != 32) | (owner[1:] != owner[:-1])
         code, owner = code[keep].astype(np.uint64), owner[keep]
@@ -119,8 +135,8 @@ def _score(shared, buckets):
         for batch in batches:
             n = batch.num_rows
             data, offsets = text.buffers(batch.column("text"))
-            total, seen = np.zeros((len(langs), n)), np.zeros(n)
-            for bucket, owner in grams(data, offsets, buckets=buckets) if langs else ():
+            total, seen, ok = np.zeros((len(langs), n)), np.zeros(n), np.zeros(n, dtype=bool)
+            for bucket, owner in grams(data, offsets, buckets=buckets, lettered=ok) if langs else ():
                 if not len(owner):
                     continue
                 first = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
@@ -128,7 +144,6 @@ def _score(shared, buckets):
                 seen[own] += np.diff(np.concatenate([first, [len(owner)]]))
                 for i in range(len(langs)):
                     total[i, own] += np.add.reduceat(logs[i][bucket], first, dtype=np.float64)
-            ok = batch.column("has_letter").to_numpy(zero_copy_only=False).astype(bool) & (seen > 0)
             best = np.where(ok, total.argmax(axis=0) if langs else 0, len(langs))
             if langs:
                 gap = (total - total.max(axis=0)) * (np.minimum(seen, EVIDENCE) / np.maximum(seen, 1))
@@ -145,8 +160,7 @@ def _score(shared, buckets):
 def predict(documents: DataFrame, model, *, held_out=None, id_col="doc_id", text_col="text") -> DataFrame:
     """doc_id, held_out, lang_pred, score of every row; ``held_out`` is passed through."""
     shared = documents.sparkSession.sparkContext.broadcast(model)
-    content = F.col(text_col).cast("string")
     rows = documents.select(
         F.col(id_col).cast("long").alias("doc_id"), (F.lit(False) if held_out is None else held_out).alias("held_out"),
-        content.alias("text"), F.coalesce(content.rlike(r"\p{L}"), F.lit(False)).alias("has_letter"))
+        F.col(text_col).cast("string").alias("text"))
     return rows.mapInArrow(_score(shared, model[1].shape[1]), "doc_id long, held_out boolean, lang_pred string, score double")
