@@ -75,6 +75,14 @@ def unpack(data):
     return out
 
 
+def _distinct(values, ordered=False):
+    """Sorted distinct values; ``ordered``: they come sorted."""
+    values = values if ordered else np.sort(values)
+    keep = np.ones(len(values), dtype=bool)
+    keep[1:] = values[1:] != values[:-1]
+    return values[keep]
+
+
 def _steps(sorted_values):
     return np.diff(sorted_values, prepend=sorted_values.dtype.type(0))
 
@@ -211,18 +219,19 @@ class _Asked:
         salt = mixed[last - _SHIFT] % salts[middle - _SHIFT].astype(np.uint64)
         # contexts of dealt middle words that may lack an arc ask every part for their sums
         dealt = np.flatnonzero((salts[middle - _SHIFT] > 1) & (counts == 0))
-        context = np.unique(np.concatenate([middle[dealt] * self.size + first[dealt], middle[dealt] * self.size + _NONE]))
+        context = _distinct(np.concatenate([middle[dealt] * self.size + first[dealt], middle[dealt] * self.size + _NONE]))
         many = salts[context // self.size - _SHIFT]
         context = np.repeat(context, many)
         every = np.arange(len(context)) - np.repeat(np.cumsum(many) - many, many)
-        middle, first = np.append(middle, context // self.size), np.append(first, context % self.size)
-        last = np.append(last, np.full(len(context), _ASK))
-        salt = np.append(salt, every.astype(np.uint64))
-        part = (text.mix(home[middle - _SHIFT] + salt) % np.uint64(parts)).astype(np.int64)
-        counts = np.append(counts, np.zeros(len(context), dtype=np.int64))
-        rank = np.lexsort((first, last, middle, part))
+        # they go before the n-grams of their word, so that all stay in order
+        at = np.searchsorted(middle * self.size + last, context // self.size * self.size + _ASK)
+        middle, first = np.insert(middle, at, context // self.size), np.insert(first, at, context % self.size)
+        last, counts = np.insert(last, at, _ASK), np.insert(counts, at, 0)
+        salt = np.insert(salt, at, every.astype(np.uint64))
+        part = (text.mix(home[middle - _SHIFT] + salt) % np.uint64(parts)).astype(np.uint16 if parts <= 1 << 16 else np.int64)
+        rank = np.argsort(part, kind="stable")
         self.middle, self.last, self.first, self.counts = middle[rank], last[rank], first[rank], counts[rank]
-        self.runs = np.searchsorted(part[rank], np.arange(parts + 1))
+        self.runs = np.searchsorted(part[rank].astype(np.int64), np.arange(parts + 1))
 
     def questions(self):
         """(part, packed words and n-grams) of each part that is asked."""
@@ -239,8 +248,8 @@ class _Asked:
         """Of one part's questions: pairs, then the contexts and the middle words that may lack an arc."""
         middle, last, first = self.middle[a:b], self.last[a:b], self.first[a:b]
         open_ = self.counts[a:b] == 0
-        return (np.unique(middle * self.size + last), np.unique(middle[open_] * self.size + first[open_]),
-                np.unique(middle[open_]))
+        return (_distinct(middle * self.size + last, True), _distinct(middle[open_] * self.size + first[open_]),
+                _distinct(middle[open_], True))
 
 
 def _with_common(number, sent, common):
@@ -298,7 +307,7 @@ def _count_grams(shared, denominator, discount):
         for a, b in zip(cuts[:-1], cuts[1:]):
             g = gram[a:b]
             open_ = g[counts[a:b] == 0]
-            pair, asking, heads = np.unique(of[g]), np.unique(context[open_]), np.unique(head[of[open_]])
+            pair, asking, heads = _distinct(of[g]), _distinct(context[open_]), _distinct(head[of[open_]])
             data.append(pack(n3[g], n2[pair], many[asking], rest[asking], many1[heads], rest1[heads]))
         return _answers(table.column("block").to_pylist(), 1, key[0].as_py(), data)
 
@@ -310,7 +319,7 @@ def automaton(asked, answers, denominator, discount=lm.DISCOUNT):
     size, words = asked.size, asked.size - _SHIFT
     n3 = np.zeros(len(asked.middle), dtype=np.int64)
     n2 = np.zeros(len(asked.pairs), dtype=np.int64)
-    contexts = np.unique(asked.middle * size + asked.first)
+    contexts = _distinct(asked.middle * size + asked.first)
     many, rest = np.zeros(len(contexts), np.int64), np.zeros(len(contexts))
     many1, rest1 = np.zeros(size, dtype=np.int64), np.zeros(size)
     for part, data in answers:
