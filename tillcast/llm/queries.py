@@ -34,6 +34,11 @@ def op5_mixture_packing(spark, base):
     return packing.pack(_table(spark, base, "documents"))
 
 
+def packing_to_weights(spark, base):
+    """Two sources get shares of their own, the others what their tokens amount to."""
+    return packing.pack(_table(spark, base, "documents"), weights={"src0": 0.1, "src1": 0.2})
+
+
 def op6_toxicity_grammar(spark, base):
     docs, fold = _table(spark, base, "documents"), folds.fold(3)
     model = toxicity.train(docs, _table(spark, base, "labels"), rows=fold != 1)
@@ -74,7 +79,7 @@ def op13_seed_extend(spark, base):
 
 QUERIES = {f.__name__: f for f in (
     op1_itq_embeddings, op2_circulant_minhash, op3_naive_bayes_language, op4_backoff_automaton, op5_mixture_packing,
-    op6_toxicity_grammar, op7_quality_trees, op8_line_windows, op9_simhash_decontamination, op10_label_propagation_shards,
+    packing_to_weights, op6_toxicity_grammar, op7_quality_trees, op8_line_windows, op9_simhash_decontamination, op10_label_propagation_shards,
     op11_centroid_trie, op12_resident_codes, op13_seed_extend,
 )}
 SQL = {"op1_itq_embeddings": embeddings.SQL, "op2_circulant_minhash": minhash.SQL, "op8_line_windows": lines.SQL,
