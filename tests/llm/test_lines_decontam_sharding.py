@@ -6,6 +6,8 @@ import numpy as np
 import pytest
 
 from tests.oracle_check import compare, connect
+from pyspark.sql import functions as F
+
 from tillcast.llm import decontam, lines, queries, sharding
 
 
@@ -196,6 +198,67 @@ def test_shards(spark, wide):
     assert runs <= 1 + -(-wide * 8 // len(docs))
 
 
+def _places(spark, tight):
+    """Groups of links in shards by hash; with ``tight`` nearly all rows are linked."""
+    rng = np.random.default_rng(11)
+    rows = [(g, 3 * g + 1, int(s)) for g in range(90) for s in rng.integers(0, 6, int(rng.integers(2, 7)))]
+    place = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "row long, g long, h long, shard int")
+    total = len(rows) + (1 if tight else 200)
+    return place, rows, [total // 6 + (s < total % 6) for s in range(6)], total
+
+
+@pytest.mark.parametrize("tight", [False, True])
+def test_a_round_moves_groups_as_brute_force_does(spark, tight):
+    place, rows, quota, _ = _places(spark, tight)
+    for turn in range(3):
+        marked = place.withColumn("chance", sharding._chance(turn)).withColumn(
+            "ties", F.array(*[F.xxhash64("g", F.lit(s)) for s in range(6)])).collect()
+        groups = {}
+        for r in marked:
+            groups.setdefault(r.g, []).append(r)
+        wish = {g: max((sum(r.shard == s for r in m), m[0].ties[s], s) for s in {r.shard for r in m})[2] for g, m in groups.items()}
+        come = [sum(wish[r.g] == s != r.shard for r in marked) for s in range(6)]
+        stay = [sum(wish[r.g] == s == r.shard for r in marked) for s in range(6)]
+        expected = {}
+        for r in marked:
+            to = wish[r.g]
+            ratio = min(1.0, max(0.0, (quota[to] - stay[to]) / come[to])) if come[to] else 0.0
+            expected[r.row] = to if r.chance < ratio else r.shard
+        placed, wishing, _ = sharding.propagate(place, quota, turn)
+        assert {r.row: r["shard"] for r in placed.collect()} == expected and wishing == sum(come)
+        place = spark.createDataFrame([(i, *rows[i][:2], s) for i, s in expected.items()], place.schema)
+
+
+def test_rounds_end_when_no_group_moves(spark):
+    place, rows, quota, _ = _places(spark, tight=False)
+    found, left = sharding.settle(place, quota, sharding.ROUNDS)
+    shards = {}
+    for r in found.collect():
+        shards.setdefault(r.g, set()).add(r["shard"])
+    cut = sum(len(s) > 1 for s in shards.values())
+    assert left == 0 and cut == 0
+    assert sharding.settle(place, quota, 0)[1] > 0      # what is left is counted
+
+
+@pytest.mark.parametrize("tight", [False, True])
+def test_quotas_are_filled_as_brute_force_does(spark, tight):
+    place, rows, quota, total = _places(spark, tight)
+    every = spark.range(total).select(F.col("id").alias("row"))
+    run = F.when(F.col("row") % 7 == 0, 0).otherwise(1)
+    found = {r.row: (r["shard"], r.slot) for r in sharding.fill(every, place, quota, run, 3).collect()}
+    part = F.pmod(F.xxhash64("row"), F.lit(sharding.PARTS))
+    marked = place.select("*", (F.pmod(F.xxhash64("g", "h"), F.lit(3)) * sharding.PARTS + part).alias("block")).collect()
+    expected = {}
+    for s, q in enumerate(quota):
+        inside = sorted((r for r in marked if r["shard"] == s), key=lambda r: (r.block, r.g, r.h, r.row))
+        expected |= {r.row: (s, k) for k, r in enumerate(inside[:q])}
+    used = [sum(s == t for t, _ in expected.values()) for s in range(6)]
+    places = [(s, k) for s, q in enumerate(quota) for k in range(used[s], q)]
+    others = every.select("row", run.alias("run"), F.pmod(F.xxhash64("row"), F.lit(3)).alias("block")).collect()
+    others = sorted((r for r in others if r.row not in expected), key=lambda r: (r.run, r.block, r.row))
+    assert found == expected | {r.row: p for r, p in zip(others, places)} and len(others) == len(places)
+
+
 def test_shards_edge_cases(spark, odd, none):
     _check_shards(sharding.shard(odd).collect(), [(r.doc_id, r.text) for r in odd.collect()], 40)
     assert sharding.shard(none).collect() == []
