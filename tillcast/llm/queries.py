@@ -79,8 +79,10 @@ def op13_seed_extend(spark, base):
 
 QUERIES = {f.__name__: f for f in (
     op1_itq_embeddings, op2_circulant_minhash, op3_naive_bayes_language, op4_backoff_automaton, op5_mixture_packing,
-    packing_to_weights, op6_toxicity_grammar, op7_quality_trees, op8_line_windows, op9_simhash_decontamination, op10_label_propagation_shards,
+    op6_toxicity_grammar, op7_quality_trees, op8_line_windows, op9_simhash_decontamination, op10_label_propagation_shards,
     op11_centroid_trie, op12_resident_codes, op13_seed_extend,
 )}
+#: Further uses of the operators.
+EXTRA = {f.__name__: f for f in (packing_to_weights,)}
 SQL = {"op1_itq_embeddings": embeddings.SQL, "op2_circulant_minhash": minhash.SQL, "op8_line_windows": lines.SQL,
        "op11_centroid_trie": trie.SQL, "op12_resident_codes": codes.SQL, "op13_seed_extend": substrings.SQL}
