@@ -28,7 +28,7 @@ from tillcast.llm import numbering
 from tillcast.session import materialize
 
 SHARDS = 40
-ROUNDS = 20     # most rounds; two are usual, as only full shards turn groups away
+ROUNDS = 20     # at most; full shards turn groups away, which try again
 PARTS = 16      # blocks that one group is numbered in
 
 
