@@ -269,3 +269,51 @@ def test_fewer_rounds_take_larger_steps():
     sizes = Sizes().within(50)
     assert sizes.boosted.trees == 50 and sizes.boosted.step == 0.3 and sizes.boosted.depth == Sizes().boosted.depth
     assert sizes.fine.leaves == 255 and sizes.boosted.patience == 8 and Sizes().within(10 ** 6) == Sizes()
+
+
+def test_large_lanes_lie_in_blocks_of_one_lane(spark):
+    df, found = frame(spark, 900)
+    rows = boosting.lane_rows(binned(df), "city", "y", ["id"], "id % 5 = 0", "w")
+    out = boosting._blocks(rows, {"0": 0.5, "1": 1.5, "2": 2.5}, 3).collect()
+    assert len({r.block for r in out}) == len(out) and sum(r.n for r in out) == len(found)
+    for lane in (0, 1, 2):
+        own = found[found["city"] == lane]
+        for held in (False, True):
+            parts = [r for r in out if r.lane == str(lane) and r.held == held]
+            y = np.concatenate([np.frombuffer(r.y) for r in parts])
+            np.testing.assert_allclose(np.sort(y), np.sort(own.loc[(own["id"] % 5 == 0) == held, "y"]))
+            assert all(len(r.bins) == 3 * r.n <= 3 * boosting.BLOCK_ROWS and set(np.frombuffer(r.margin)) == {lane + 0.5} for r in parts)
+
+
+def test_a_bound_on_leaves_bounds_the_nodes_that_are_asked_for(spark, monkeypatch):
+    """Leaf-wise trees over jobs grow nothing below nodes that the bound leaves out."""
+    df, _ = frame(spark, 900)
+    asked, split = [], boosting._split_nodes
+    monkeypatch.setattr(boosting, "_split_nodes", lambda b, units, *a: asked.append(sum(len(u.asked) for u in units)) or split(b, units, *a))
+    settings = PLAIN.sized(depth=0, leaves=4, min_rows=1)
+    boosting.fit_models(binned(df), {"m": "y"}, settings, ["id"], task_rows=20)
+    assert max(asked) <= 6 and sum(asked) < 24  # two children of at most three splits a level; 45 leaves of 20 rows before
+
+
+def test_many_asked_nodes_are_summed_in_several_jobs(spark, monkeypatch):
+    df, found = frame(spark, 900)
+    data, settings = binned(df), PLAIN.sized(depth=5, min_rows=2)
+    whole = boosting.fit_models(data, {"m": "y", "o": "z"}, settings, ["id"], task_rows=100)
+    monkeypatch.setattr(boosting, "MOST_NODES", 3)
+    parts = boosting.fit_models(data, {"m": "y", "o": "z"}, settings, ["id"], task_rows=100)
+    for name in "mo":
+        np.testing.assert_allclose(predictions(whole[name], found), predictions(parts[name], found), atol=1e-9)
+
+
+def test_shuffled_features_send_only_rows_down_again_that_they_move(spark):
+    df, found = frame(spark)
+    model = boosting.fit_models(binned(df), {"m": "y"}, PLAIN.sized(trees=4, step=0.5), ["id"], weight="w")["m"]
+    on_path, x = model.on_path(), found[INPUTS].to_numpy()
+    for i in range(3):
+        moved = x.copy()
+        moved[:, i] = moved[::-1, i]
+        before, after = model.leaves(x), model.leaves(moved)
+        assert not ((before != after) & ~on_path[before, i]).any()
+        some = np.flatnonzero(found["id"] % 3 == 0)
+        for root in model.roots:
+            np.testing.assert_array_equal(model.leaf(x.T, root, some), model.leaf(x.T, root)[some])
