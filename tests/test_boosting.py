@@ -292,7 +292,7 @@ def test_a_bound_on_leaves_bounds_the_nodes_that_are_asked_for(spark, monkeypatc
     monkeypatch.setattr(boosting, "_split_nodes", lambda b, units, *a: asked.append(sum(len(u.asked) for u in units)) or split(b, units, *a))
     settings = PLAIN.sized(depth=0, leaves=4, min_rows=1)
     boosting.fit_models(binned(df), {"m": "y"}, settings, ["id"], task_rows=20)
-    assert max(asked) <= 6 and sum(asked) < 24  # two children of at most three splits a level; 45 leaves of 20 rows before
+    assert max(asked) <= 6 and sum(asked) < 24  # two children of at most three splits a level; 8 and 82 before
 
 
 def test_many_asked_nodes_are_summed_in_several_jobs(spark, monkeypatch):
