@@ -181,3 +181,31 @@ def test_registry():
 def test_require_columns(spark):
     with pytest.raises(MissingColumns):
         require_columns(spark.range(1), ["sale_amount_pred"])
+
+
+def test_densify_shuffles_the_panel_and_not_its_grid(spark):
+    day = lambda n: START + dt.timedelta(days=n)
+    rows = [(1, 1, day(2), 5, 2.0), (1, 1, day(4), 5, 3.0), (1, 1, day(4), 5, 4.0), (2, 1, None, 6, 9.0), (None, 1, day(3), 7, 8.0),
+            (3, 1, day(0), 8, None), (3, 1, day(9), 8, 1.0), (4, 1, day(30), 9, 1.0)]
+    panel = spark.createDataFrame(rows, "store_id long, product_id long, dt date, city_id int, sale_amount double")
+    dense = densify(panel, ["city_id"], start="2024-01-01", end="2024-01-10")
+    got = {}
+    for r in dense.collect():
+        got.setdefault((r["store_id"], r["city_id"]), []).append(((r["dt"] - START).days, r["sale_amount"]))
+    zero = {n: [0.0] for n in range(10)}
+    for key, known in {(1, 5): {2: [2.0], 4: [3.0, 4.0]}, (2, 6): {}, (None, 7): {}, (3, 8): {9: [1.0]}, (4, 9): {}}.items():
+        expected = sorted((n, x) for n, xs in {**zero, **known}.items() for x in xs)
+        assert sorted(got.pop(key)) == expected
+    assert not got
+    totals = dense.groupBy("store_id", "product_id", "city_id").agg(F.sum("sale_amount"))
+    plan = totals._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("Exchange hashpartitioning") == 1
+
+
+def test_density_counts_days_without_keeping_them_as_rows(spark):
+    rows = [(1, 1, START + dt.timedelta(days=n)) for n in (0, 1, 62, 63, 64, 64, 200)] + [(2, 1, None), (None, 1, START), (3, 1, dt.date(1969, 12, 31)), (3, 1, dt.date(1970, 1, 1))]
+    found = series_density(spark.createDataFrame(rows, "store_id long, product_id long, dt date"))
+    got = {r["store_id"]: (r["n_rows"], r["n_gaps"], r["n_repeats"], r["dense"]) for r in found.collect()}
+    assert got == {1: (7, 195, 1, False), 2: (1, None, 1, False), None: (1, 0, 0, True), 3: (2, 0, 0, True)}
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "count(distinct" not in plan and "Expand" not in plan

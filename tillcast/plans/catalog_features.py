@@ -29,12 +29,13 @@ def panel_daily(spark, base):
 
 
 def panel_density(spark, base):
-    return series_density(sales_panel(spark, base))
+    return series_density(materialize(sales_panel(spark, base).select(*KEYS), "panel"))
 
 
 def panel_densified(spark, base):
-    """Totals of each zero-filled series; the grid has every day of the panel."""
-    dense = densify(sales_panel(spark, base).select(*KEYS, "city_id", "sale_amount"), attributes=["city_id"])
+    """Totals of each zero-filled series; the grid has every day of the panel, which is written once."""
+    panel = materialize(sales_panel(spark, base).select(*KEYS, "city_id", "sale_amount"), "panel")
+    dense = densify(panel, attributes=["city_id"])
     return rounded(dense.groupBy(*SERIES_KEYS, "city_id").agg(
         F.count("*").alias("n_days"), F.count_if(F.col("sale_amount") > 0).alias("n_selling"),
         F.sum("sale_amount").alias("total"), F.stddev_samp("sale_amount").alias("spread")))
