@@ -97,3 +97,13 @@ def test_union_fills_absent_columns(spark):
     a = spark.createDataFrame([("x", 1.0)], "model string, rho_ds double")
     both = panel.union_all([a, a.drop("rho_ds")])
     assert sorted((r["rho_ds"] is None) for r in both.collect()) == [False, True]
+
+
+def test_a_panel_in_folders_is_sorted_once(spark):
+    rows = [(s, p, d % 3, dt.date(2024, 1, 1) + dt.timedelta(days=(d * 7) % 50)) for s in range(6) for p in range(3) for d in range(50)]
+    frame = spark.createDataFrame(rows, "store_id long, product_id long, city_id int, dt date").repartition(1)
+    path = shared_path(spark, "sorted")
+    sinks.write_panel(frame, path, partition_by="city_id")
+    for city in range(3):
+        got = [tuple(r) for r in spark.read.parquet(f"{path}/city_id={city}").coalesce(1).select("store_id", "product_id", "dt").collect()]
+        assert len(got) > 100 and got == sorted(got)
