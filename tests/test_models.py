@@ -363,3 +363,26 @@ def test_boosting_stops_by_patience(spark, train):
     model = trees.fit_trees(noise, INPUTS, "y", trees.BOOSTED.sized(trees=30, depth=4, min_rows=1, step=0.5, patience=3),
                             validation=train.withColumn("y", F.rand(5)))
     assert 0 < model.stages[-1].getNumTrees < 30
+
+
+@pytest.mark.parametrize("features", [3, 30])
+def test_a_block_is_searched_box_by_box(monkeypatch, features):
+    rng = np.random.default_rng(5)
+    points = rng.normal(size=(4000, features)).round(2)
+    points[:900] = points[0]
+    queries = np.vstack([rng.normal(size=(40, features)).round(2), points[:1]])
+    ids, targets = np.array([f"t{i:04d}" for i in rng.permutation(4000)]), rng.random(4000)
+    measured, plain = [], neighbors._distances
+    monkeypatch.setattr(neighbors, "_distances", lambda q, p: measured.append(len(p)) or plain(q, p))
+    query, distance, found, _ = neighbors.nearest_in_block(queries, np.arange(41), points, ids, targets, 15)
+    monkeypatch.undo()
+    for i, q in enumerate(queries):
+        far = neighbors._distances(q, points)
+        best = np.lexsort((ids, far))[:15]
+        assert [n for n, o in zip(found, query) if o == i] == list(ids[best])
+        assert [d for d, o in zip(distance, query) if o == i] == list(far[best])
+    near = neighbors.nearest_in_block(queries, np.arange(41), points, ids, targets, 15, np.full(41, 0.5))
+    kept = {(q, n) for q, n, d in zip(near[0], near[2], near[1]) if d <= 0.5}
+    assert kept == {(q, n) for q, n, d in zip(query, found, distance) if d <= 0.5}
+    if features == 3:
+        assert sum(measured) < 41 * 4000 / 2
