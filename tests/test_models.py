@@ -386,3 +386,24 @@ def test_a_block_is_searched_box_by_box(monkeypatch, features):
     assert kept == {(q, n) for q, n, d in zip(query, found, distance) if d <= 0.5}
     if features == 3:
         assert sum(measured) < 41 * 4000 / 2
+
+
+@pytest.mark.parametrize("train_block", [10, 1000])
+def test_queries_of_one_id_count_each_pair_once(spark, train_block):
+    points = [float(i) for i in range(60)]
+    asked = [("q", 20.4), ("q", 41.3), ("r", 7.0)]
+    t = spark.createDataFrame([(f"t{i:02d}", x, x) for i, x in enumerate(points)], "id string, x double, y double")
+    q = spark.createDataFrame(asked, "id string, x double")
+    found = neighbors.knn_neighbors(t, q, ["x"], "y", "id", k=15, train_block=train_block).collect()
+    for name in ("q", "r"):
+        pairs = sorted((abs(x - p), f"t{i:02d}") for n, x in asked if n == name for i, p in enumerate(points))
+        assert sorted((r["distance"], r["neighbor"]) for r in found if r["query"] == name) == pairs[:15]
+
+
+def test_filled_panel_keeps_only_the_look_back_columns_asked_for(spark):
+    from tillcast.plans.catalog_models import filled_panel
+
+    panel = filled_panel(spark, "/root/testdata/sf0.001", ["lag_1", "series_scale"])
+    assert {"lag_1", "series_scale", "split", "sample_weight", "y_eff", "city_id", "discount"} <= set(panel.columns)
+    assert not [c for c in panel.columns if c.startswith(("rolling_", "stockout_ratio_", "lag_7", "lag_14"))]
+    assert panel.filter("lag_1 is null").count() == 0
