@@ -41,6 +41,18 @@ def test_prepared_rows_are_complete(data, panel):
     assert counts == {"train": 20 * 66, "val": 140, "test": 140}
 
 
+def test_features_are_written_once(panel, monkeypatch):
+    written, own = [], training.materialize
+    monkeypatch.setattr(training, "materialize", lambda df, name: written.append(name) or own(df, name))
+    again = training.prepare(panel)
+    assert written == ["panel", "features"]  # a filled copy of all features before
+    encoder = training.TargetEncoder.fit(again.split("train"))
+    for a, b in zip(*(sorted(f.select("store_id", "dt", "city_id_te", "first_category_id_te").collect())
+                      for f in (again.frame, encoder.transform(again.frame)))):
+        assert tuple(a)[:2] == tuple(b)[:2]
+        assert tuple(a)[2:] == pytest.approx(tuple(b)[2:])
+
+
 def test_a_long_series_is_cut_without_changing_features(panel, data):
     with pytest.raises(ValueError):
         training.prepare(panel, chunk_rows=79)  # a chunk must cover the longest look-back
