@@ -317,3 +317,17 @@ def test_shuffled_features_send_only_rows_down_again_that_they_move(spark):
         some = np.flatnonzero(found["id"] % 3 == 0)
         for root in model.roots:
             np.testing.assert_array_equal(model.leaf(x.T, root, some), model.leaf(x.T, root)[some])
+
+
+def test_nodes_move_however_few_levels_they_have_and_blocks_stay_in_memory(spark, monkeypatch):
+    """Jobs read the whole lane, so a node with two levels to go moves, too; only a lane's blocks are held, until its fit ends."""
+    df, found = frame(spark, 900)
+    data, held, split = binned(df), [], boosting._split_nodes
+    monkeypatch.setattr(boosting, "_split_nodes", lambda b, *a: held.append(b.storageLevel) or split(b, *a))
+    before = len(spark.sparkContext._jsc.getPersistentRDDs())
+    moved = boosting.fit_models(data, {"m": "y"}, PLAIN, ["id"], "id % 5 = 0", task_rows=650)["m"]
+    assert len(held) == 1  # three jobs before, one a level
+    assert held[0].useMemory and not held[0].useDisk
+    assert len(spark.sparkContext._jsc.getPersistentRDDs()) == before
+    whole = boosting.fit_models(data, {"m": "y"}, PLAIN, ["id"], "id % 5 = 0")["m"]
+    np.testing.assert_allclose(predictions(whole, found), predictions(moved, found), atol=1e-9)
