@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tillcast.constants import FEATURES
 from tillcast.operators.metrics import score_models
-from tillcast.plans import training
+from tillcast.plans import catalog_models, training
 from tillcast.sources.panel import with_series_columns
 
 START = dt.date(2024, 1, 1)
@@ -102,3 +102,22 @@ def test_held_out_panel_continues_the_training_panel(panel, data):
 def test_ablations(data):
     scored = training.run_ablations(data, training.Sizes().scaled(trees=3, depth=3))
     assert {r["model"] for r in scored.collect()} == {"observed target", "recovered target", "no Fourier", "per city"}
+
+
+def test_ablations_and_city_models_are_asked_for_at_full_size(spark, data, monkeypatch):
+    class Asked(Exception):
+        pass
+
+    def asked(_, settings):
+        raise Asked(settings)
+
+    monkeypatch.setattr(catalog_models, "prepared", lambda *_: data)
+    for name in ("run_ablations", "fit_cities"):
+        monkeypatch.setattr(training, name, asked)
+    with pytest.raises(Asked) as arms:
+        catalog_models.ablation_run(spark, "")
+    sizes = arms.value.args[0]
+    assert (sizes.ablation.trees, sizes.ablation.step, sizes.group.trees) == (2000, 0.03, 2000)  # 30 rounds of step 0.3 before
+    with pytest.raises(Asked) as cities:
+        catalog_models.per_city_models(spark, "")
+    assert (cities.value.args[0].trees, cities.value.args[0].step) == (2000, 0.03)
